@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import secrets
+from millrace.llm import chat, mixing, secrets
 from millrace.llm.common import table
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = mixing.mix(table(spark, sf_dir, "documents"))
+    return m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), F.col("src").alias("source"), "rate", "copies")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda s: s["ord"] == k)).cast("long")
@@ -18,5 +23,41 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_secret_scan": op5_secret_scan}
-ORACLES: dict[str, str] = {}
+#: A conversation whose texts hold the template's own control strings.
+TRICKY = r"\### Assistant: </turn> ok"
+
+
+def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(TRICKY).alias("text"))
+    return chat.read_back(chat.windows(turns.unionByName(extra)))
+
+
+OP6_SQL = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+), e AS (
+  SELECT conv_id, turn, role, text, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tokens,
+    4 + length(role) + 2 + length(replace(replace(replace(text, '\', '\\'), '#', '\h'), '</turn>', '\l/turn>')) + 8 AS chars FROM t
+), p AS (
+  SELECT *, row_number() OVER w AS idx, sum(tokens) OVER w AS stop, first_value(role) OVER w AS head_role, first_value(chars) OVER w AS head_chars,
+    lag(tokens, 1) OVER w AS t1, lag(chars, 1) OVER w AS c1, lag(tokens, 2) OVER w AS t2, lag(chars, 2) OVER w AS c2
+  FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), v AS (
+  SELECT *, 2 * ((stop - tokens) // 1280) + CASE WHEN (stop - 1) // 1280 > (stop - tokens) // 1280 THEN 1 ELSE 0 END AS win, head_role = 'system' AND idx > 1 AS sys FROM p
+), f AS (
+  SELECT *, win <> coalesce(lag(win) OVER (PARTITION BY conv_id ORDER BY idx), -1) AS first,
+    c1 IS NOT NULL AND t1 <= 512 AND NOT (sys AND idx = 2) AS h1 FROM v
+), r AS (
+  SELECT *, chars + CASE WHEN first THEN CASE WHEN sys THEN head_chars ELSE 0 END + CASE WHEN h1 THEN c1 ELSE 0 END
+    + CASE WHEN h1 AND c2 IS NOT NULL AND t1 + t2 <= 512 AND NOT (sys AND idx = 3) THEN c2 ELSE 0 END ELSE 0 END AS total FROM f
+)
+SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY idx)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY idx) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(total)::BIGINT AS formatted_chars
+FROM r GROUP BY conv_id
+"""
+
+QUERIES = {"op3_source_mix": op3_source_mix, "op5_secret_scan": op5_secret_scan, "op6_chat_windows": op6_chat_windows}
+ORACLES: dict[str, str] = {"op6_chat_windows": OP6_SQL}
