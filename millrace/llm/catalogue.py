@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, mixing, secrets
+from millrace.llm import chat, minhash, mixing, secrets
 from millrace.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), F.col("src").alias("source"), "rate", "copies")
 
 
+def op4_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_components(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(table(spark, sf_dir, "documents"))
     count = lambda k: F.size(F.filter("base", lambda s: s["ord"] == k)).cast("long")
@@ -59,5 +64,5 @@ SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) |
 FROM r GROUP BY conv_id
 """
 
-QUERIES = {"op3_source_mix": op3_source_mix, "op5_secret_scan": op5_secret_scan, "op6_chat_windows": op6_chat_windows}
+QUERIES = {"op4_minhash_dedup": op4_minhash_dedup, "op3_source_mix": op3_source_mix, "op5_secret_scan": op5_secret_scan, "op6_chat_windows": op6_chat_windows}
 ORACLES: dict[str, str] = {"op6_chat_windows": OP6_SQL}
