@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, minhash, mixing, secrets
-from millrace.llm.common import table
+from millrace.llm import chat, decontaminate, minhash, mixing, quality, secrets, toxicity
+from millrace.llm.common import bucket_of, table
 
 
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,5 +68,18 @@ def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {"op8_benchmark_leaks": op8_benchmark_leaks, "op4_minhash_dedup": op4_minhash_dedup, "op3_source_mix": op3_source_mix, "op5_secret_scan": op5_secret_scan, "op6_chat_windows": op6_chat_windows}
+def op9_quality_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feats = quality.features(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return quality.score(feats, quality.train(feats))
+
+
+def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    fold = bucket_of(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), 5)
+    model = [tuple(r) for r in toxicity.train(docs, labels.where(fold != 0)).collect()]
+    scored = toxicity.score(docs, model)
+    return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES = {"op9_quality_cotraining": op9_quality_cotraining, "op10_toxicity_ftrl": op10_toxicity_ftrl, "op8_benchmark_leaks": op8_benchmark_leaks, "op4_minhash_dedup": op4_minhash_dedup, "op3_source_mix": op3_source_mix, "op5_secret_scan": op5_secret_scan, "op6_chat_windows": op6_chat_windows}
 ORACLES: dict[str, str] = {"op6_chat_windows": OP6_SQL}

@@ -31,6 +31,11 @@ def constants(seed: int, n: int) -> np.ndarray:
 
 SEPARATOR = np.zeros(256, bool)
 SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+#: For words of letters and digits only.
+NOT_WORD = np.ones(256, bool)
+NOT_WORD[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
+LINE_END = np.zeros(256, bool)
+LINE_END[[10, 13]] = True
 #: Byte values with A-Z folded to lower case.
 _FOLD = np.arange(256)
 _FOLD[65:91] += 32
@@ -98,12 +103,18 @@ def _pieces(texts: list[bytes | memoryview]) -> Iterator[tuple[list[int], list[b
         yield ids, parts
 
 
-def word_hashes(texts: list[bytes | memoryview]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(texts: list[bytes | memoryview], separator: np.ndarray = SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all texts' words (A-Z folded), one after another, and each text's number of words."""
+    hashes, counts = stem_hashes(texts, separator, ())
+    return hashes[:, 0], counts
+
+
+def stem_hashes(texts: list[bytes | memoryview], separator: np.ndarray, stems: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """As word_hashes, with a column more for each length in stems: the hash of the word's first bytes, or of the word if it isn't longer."""
     hashes, counts = [], np.zeros(len(texts), np.int64)
     for ids, parts in _pieces(texts):
         raw = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
-        gap = SEPARATOR[raw]
+        gap = separator[raw]
         edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
         if not gap[0]:
             edge = np.concatenate(([0], edge))
@@ -113,11 +124,12 @@ def word_hashes(texts: list[bytes | memoryview]) -> tuple[np.ndarray, np.ndarray
         sums = np.empty(len(raw) + 1, U)
         sums[0] = 0
         np.cumsum(_VALUE[raw] * up[: len(raw)], out=sums[1:])
-        hashes.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U)))
+        columns = [mix((sums[e] - sums[starts]) * down[starts] + (e - starts).astype(U)) for e in (ends, *(np.minimum(ends, starts + n) for n in stems))]
+        hashes.append(np.stack(columns, axis=1) if stems else columns[0][:, None])
         offsets = np.cumsum([0] + [len(p) + 1 for p in parts])
         per = np.diff(np.searchsorted(starts, offsets))
         np.add.at(counts, ids, per)
-    return (np.concatenate(hashes) if hashes else np.empty(0, U)), counts
+    return (np.concatenate(hashes) if hashes else np.empty((0, 1 + len(stems)), U)), counts
 
 
 def shingles(words: np.ndarray, width: int = 5) -> np.ndarray:
