@@ -8,8 +8,9 @@
    the rarest first (prefix filter) leaves postings of frequent passages unread, and values
    that occur once are never posted at all.
 3. Lists are merged without emitting all pairs of a group: members are first compared with one hub of
-   their list. Lists whose members are in one component already are skipped; the others get another
-   hub, and once few pairs across components are left, all of these are compared.
+   their list. Lists whose members are in one component already are skipped. Members of the others are posted
+   anew under the rarest shingles of their full sets (an exact prefix filter at the similarity threshold) and get
+   other hubs; once few pairs across components are left, or hubs stop helping, all of these are compared.
 4. A candidate counts its agreeing coordinates; those with ``matches`` or more are confirmed on
    the full shingle sets. Components of confirmed links give the result.
 
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import textnum
@@ -50,6 +51,7 @@ class NearRule:
     matches: int = 34
     star_rounds: int = 12
     few_pairs: int = 20_000
+    bitmap_longs: int = 16
 
     @property
     def prefix(self) -> int:
@@ -123,6 +125,23 @@ def near_components(docs: DataFrame, rule: NearRule = NearRule(), key: str = "do
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("class_id"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
 
 
+def _bits(rule: NearRule) -> list[str]:
+    return [f"bits{i}" for i in range(rule.bitmap_longs)]
+
+
+def _may_link(p: str, q: str, rule: NearRule) -> Column:
+    """False only for pairs that can't be similar enough, by two upper bounds of what two sets share.
+
+    Neither shares more than it shares with any other set; and where every shingle flips one bit of a set's
+    bitmap, the bitmaps differ in no more bits than the sets differ in shingles. A pair at the threshold
+    shares percent / (100 + percent) of its summed sizes.
+    """
+    sizes = F.col(f"{p}.n") + F.col(f"{q}.n")
+    differ = sum((F.bit_count(F.col(f"{p}.{b}").bitwiseXOR(F.col(f"{q}.{b}"))) for b in _bits(rule)), F.lit(0))
+    least = rule.percent * sizes
+    return ((100 + rule.percent) * F.least(F.col(f"{p}.most"), F.col(f"{q}.most")) >= least) & ((100 + rule.percent) * (sizes - differ) >= 2 * least)
+
+
 def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str) -> DataFrame:
     """id, comp for the representatives that have a confirmed link."""
     posted = reps.select("rep", "n", F.posexplode("sig").alias("pos", "value"))
@@ -131,7 +150,7 @@ def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str
     by_rep = Window.partitionBy("rep", "n")
     # Postings that occur once come first in the order of rarity, and need no list.
     lists = posted.join(shared, "key").withColumn("r", F.row_number().over(by_rep.orderBy("df", "key"))).withColumn("many", F.count(F.lit(1)).over(by_rep))
-    lists = staged(lists.where(F.col("r") <= F.col("many") - F.lit(rule.matches - 1)).select("key", "rep", "n"), "near-lists")
+    lists = staged(lists.where(F.col("r") <= F.col("many") - F.lit(rule.matches - 1)).select("key", "rep", "n", F.col("n").alias("most"), (F.col("many") / rule.coordinates).alias("central"), *[F.lit(0).cast("long").alias(b) for b in _bits(rule)]), "near-lists")
 
     ids = lists.select("rep").distinct()
     d = docs.select(F.col(f"`{key}`").cast("long").alias("rep"), F.col(f"`{text}`").cast("string").alias("text"))
@@ -140,27 +159,31 @@ def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str
 
     comp, edges, before = None, None, float("inf")
     for turn in range(rule.star_rounds + 1):
+        if turn == 1:
+            lists = _rarer(lists, open_, texts, rule)
         m = lists.withColumn("comp", F.col("rep")) if comp is None else lists.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
-        rank = F.col("rep") if turn == 0 else F.xxhash64("rep", F.lit(turn))
-        per_comp = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"), F.min(F.struct(rank.alias("h"), "rep", "n")).alias("hub"))
+        # Two hubs: the set with the largest shared part, as copies with few changes of their own are near to most others, and a varying one.
+        rank = F.xxhash64("rep", F.lit(turn)).alias("h")
+        central, other = F.max(F.struct("central", rank, "rep", "n", "most", *_bits(rule))), F.min(F.struct(rank, "rep", "n", "most", *_bits(rule)))
+        per_comp = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"), central.alias("middle"), other.alias("other"))
+        hub = lambda c: F.struct(*[F.col(f"{c}.{x}").alias(x) for x in ("rep", "n", "most", *_bits(rule))], "comp")
         per_key = per_comp.groupBy("key").agg(
             F.count(F.lit(1)).alias("comps"), F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("inside"),
-            # The hub comes from the list's largest component.
-            F.max_by(F.struct(F.col("hub.rep").alias("rep"), F.col("hub.n").alias("n"), "comp"), F.struct(F.col("k"), F.xxhash64("comp", F.lit(turn)))).alias("hub"),
+            # The hubs come from the list's largest component.
+            F.max_by(F.array(hub("middle"), hub("other")), F.struct(F.col("k"), F.xxhash64("comp", F.lit(turn)))).alias("hubs"),
         ).where("comps > 1")
         open_ = cut(per_key)
         left, size = open_.select(F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2), F.sum("all")).first()
         if not left:
             break
-        last = turn == rule.star_rounds or left <= max(rule.few_pairs, 2 * size) or left > 0.7 * before
+        last = turn == rule.star_rounds or left <= max(rule.few_pairs, 2 * size) or turn > 1 and left > 0.9 * before
         before = left
-        fits = lambda x, y: (100 * F.least(x, y)) >= rule.percent * F.greatest(x, y)
         if last:
             few = m.join(open_.select("key"), "key", "left_semi")
             x, y = few.alias("x"), few.alias("y")
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & fits(F.col("x.n"), F.col("y.n"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & _may_link("x", "y", rule)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         else:
-            pairs = m.join(open_.select("key", "hub"), "key").where((F.col("comp") != F.col("hub.comp")) & fits(F.col("n"), F.col("hub.n"))).select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"))
+            pairs = m.alias("m").join(open_.select("key", F.explode(F.array_distinct("hubs")).alias("hub")), "key").where((F.col("comp") != F.col("hub.comp")) & _may_link("m", "hub", rule)).select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"))
         found = _confirm(pairs.distinct(), sigs, texts, rule)
         edges = found if edges is None else cut(edges.unionByName(found))
         comp = components(edges)
@@ -169,6 +192,42 @@ def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str
     return comp if comp is not None else ids.where("false").select(F.col("rep").alias("id"), F.col("rep").alias("comp"))
 
 
+def _rarer(lists: DataFrame, open_: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
+    """Lists of rarer keys for the members of lists that are still open: their full sets' rarest shingles.
+
+    A partner shares at least the threshold's part of a set, so one of the first n - needed + 1 shingles in order
+    of rarity among these sets; those no other set holds come first and need no list. ``most`` is how many of a
+    set's shingles any other set holds; a set that shares less than needed has no partner left and goes.
+    """
+
+    longs = rule.bitmap_longs
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, counts = textnum.word_hashes(textnum.views(batch.column(1)))
+            at, sets, bits = 0, [], []
+            for n in counts.tolist():
+                s = textnum.shingles(words[at : at + n], rule.width)
+                at += n
+                sets.append(textnum.signed(s))
+                flips = np.bincount((textnum.mix(s) % textnum.U(64 * longs)).astype(np.int64), minlength=64 * longs) & 1
+                bits.append(np.packbits(flips.astype(np.uint8)).view(np.int64))
+            columns = [batch.column(0), pa.array(sets, pa.list_(pa.int64())), *(pa.array([b[i] for b in bits], pa.int64()) for i in range(longs))]
+            yield pa.RecordBatch.from_arrays(columns, ["rep", "set", *_bits(rule)])
+
+    left = lists.join(open_.select("key"), "key", "left_semi").select("rep").distinct()
+    schema = "rep long, set array<long>, " + ", ".join(f"{b} long" for b in _bits(rule))
+    sets = staged(texts.join(left, "rep", "left_semi").mapInArrow(run, schema), "near-sets").withColumn("n", F.size("set").cast("long"))
+    held = sets.select("rep", "n", F.explode("set").alias("s"))
+    # A repeated doc_id with other texts may hold a shingle twice; a pair of one rep is no pair.
+    shared = held.groupBy("s").agg(F.count(F.lit(1)).alias("df"), F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi").select("s", "df")
+    by_rep = Window.partitionBy("rep", "n")
+    ranked = held.join(shared, "s").withColumn("r", F.row_number().over(by_rep.orderBy("df", "s"))).withColumn("most", F.count(F.lit(1)).over(by_rep))
+    needed = F.ceil(F.col("n") * rule.percent / 100)
+    ranked = ranked.where(F.col("r") <= F.col("most") - needed + 1).select(F.col("s").alias("key"), "rep", "n", "most", (F.col("most") / F.col("n")).alias("central"))
+    return staged(ranked.join(sets.drop("set"), ["rep", "n"]), "near-open")
+
+
 def _confirm(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
     """The pairs whose signatures agree often enough and whose full sets are similar enough."""
     one = sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
