@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, html, minhash, mixing, quality, secrets, toxicity
+from millrace.llm import chat, decontaminate, html, minhash, mixing, neighbours, quality, secrets, toxicity
 from millrace.llm.common import bucket_of, table
 
 
+def op2_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = mixing.mix(table(spark, sf_dir, "documents"))
     return m.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), F.col("src").alias("source"), "rate", "copies")
@@ -85,5 +89,5 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {"op7_html_main_text": op7_html_main_text, "op9_quality_cotraining": op9_quality_cotraining, "op10_toxicity_ftrl": op10_toxicity_ftrl, "op8_benchmark_leaks": op8_benchmark_leaks, "op4_minhash_dedup": op4_minhash_dedup, "op3_source_mix": op3_source_mix, "op5_secret_scan": op5_secret_scan, "op6_chat_windows": op6_chat_windows}
+QUERIES = {"op2_hnsw_neighbours": op2_hnsw_neighbours, "op7_html_main_text": op7_html_main_text, "op9_quality_cotraining": op9_quality_cotraining, "op10_toxicity_ftrl": op10_toxicity_ftrl, "op8_benchmark_leaks": op8_benchmark_leaks, "op4_minhash_dedup": op4_minhash_dedup, "op3_source_mix": op3_source_mix, "op5_secret_scan": op5_secret_scan, "op6_chat_windows": op6_chat_windows}
 ORACLES: dict[str, str] = {"op6_chat_windows": OP6_SQL}
