@@ -36,9 +36,9 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """checkpoint() into the shared folder, for small tables in loops."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """staged(), for small tables in loops. A reread file has its real size; a checkpointed join keeps the product of its
+    inputs' sizes as its estimate, and in a loop those estimates grow until planning does nothing else."""
+    return staged(df, "loop")
 
 
 def lower_ascii(c: Column) -> Column:
