@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, decontaminate, html, minhash, mixing, neighbours, quality, secrets, toxicity
+from millrace.llm import brown, chat, decontaminate, html, minhash, mixing, neighbours, quality, secrets, toxicity
 from millrace.llm.common import bucket_of, table
 
 
+def op1_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = brown.fit(docs.where(~brown.held_out(F.col("doc_id"))).select("text"))
+    return brown.score(docs, model).withColumn("held_out", brown.held_out(F.col("doc_id")))
+
+
 def op2_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
@@ -89,5 +95,5 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
-QUERIES = {"op2_hnsw_neighbours": op2_hnsw_neighbours, "op7_html_main_text": op7_html_main_text, "op9_quality_cotraining": op9_quality_cotraining, "op10_toxicity_ftrl": op10_toxicity_ftrl, "op8_benchmark_leaks": op8_benchmark_leaks, "op4_minhash_dedup": op4_minhash_dedup, "op3_source_mix": op3_source_mix, "op5_secret_scan": op5_secret_scan, "op6_chat_windows": op6_chat_windows}
+QUERIES = {"op1_brown_lm": op1_brown_lm, "op2_hnsw_neighbours": op2_hnsw_neighbours, "op7_html_main_text": op7_html_main_text, "op9_quality_cotraining": op9_quality_cotraining, "op10_toxicity_ftrl": op10_toxicity_ftrl, "op8_benchmark_leaks": op8_benchmark_leaks, "op4_minhash_dedup": op4_minhash_dedup, "op3_source_mix": op3_source_mix, "op5_secret_scan": op5_secret_scan, "op6_chat_windows": op6_chat_windows}
 ORACLES: dict[str, str] = {"op6_chat_windows": OP6_SQL}

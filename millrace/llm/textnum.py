@@ -110,7 +110,8 @@ def word_hashes(texts: list[bytes | memoryview], separator: np.ndarray = SEPARAT
 
 
 def stem_hashes(texts: list[bytes | memoryview], separator: np.ndarray, stems: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
-    """As word_hashes, with a column more for each length in stems: the hash of the word's first bytes, or of the word if it isn't longer."""
+    """As word_hashes, with a column more for each length in stems: the hash of the word's first bytes, of its last where the
+    length is negative, or of the word if it isn't longer."""
     hashes, counts = [], np.zeros(len(texts), np.int64)
     for ids, parts in _pieces(texts):
         raw = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
@@ -124,7 +125,8 @@ def stem_hashes(texts: list[bytes | memoryview], separator: np.ndarray, stems: t
         sums = np.empty(len(raw) + 1, U)
         sums[0] = 0
         np.cumsum(_VALUE[raw] * up[: len(raw)], out=sums[1:])
-        columns = [mix((sums[e] - sums[starts]) * down[starts] + (e - starts).astype(U)) for e in (ends, *(np.minimum(ends, starts + n) for n in stems))]
+        spans = [(starts, ends), *((starts, np.minimum(ends, starts + n)) if n > 0 else (np.maximum(starts, ends + n), ends) for n in stems)]
+        columns = [mix((sums[b] - sums[a]) * down[a] + (b - a).astype(U)) for a, b in spans]
         hashes.append(np.stack(columns, axis=1) if stems else columns[0][:, None])
         offsets = np.cumsum([0] + [len(p) + 1 for p in parts])
         per = np.diff(np.searchsorted(starts, offsets))
