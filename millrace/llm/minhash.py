@@ -130,16 +130,16 @@ def _bits(rule: NearRule) -> list[str]:
 
 
 def _may_link(p: str, q: str, rule: NearRule) -> Column:
-    """False only for pairs that can't be similar enough, by two upper bounds of what two sets share.
+    """False only for pairs that can't be similar enough: neither set shares more than it shares with any other,
+    and a pair at the threshold shares percent / (100 + percent) of its summed sizes."""
+    return (100 + rule.percent) * F.least(F.col(f"{p}.most"), F.col(f"{q}.most")) >= rule.percent * (F.col(f"{p}.n") + F.col(f"{q}.n"))
 
-    Neither shares more than it shares with any other set; and where every shingle flips one bit of a set's
-    bitmap, the bitmaps differ in no more bits than the sets differ in shingles. A pair at the threshold
-    shares percent / (100 + percent) of its summed sizes.
-    """
+
+def _bits_allow(p: str, q: str, rule: NearRule) -> Column:
+    """As _may_link, by bitmaps in which each shingle flips one bit: they differ in no more bits than the sets in shingles."""
     sizes = F.col(f"{p}.n") + F.col(f"{q}.n")
     differ = sum((F.bit_count(F.col(f"{p}.{b}").bitwiseXOR(F.col(f"{q}.{b}"))) for b in _bits(rule)), F.lit(0))
-    least = rule.percent * sizes
-    return ((100 + rule.percent) * F.least(F.col(f"{p}.most"), F.col(f"{q}.most")) >= least) & ((100 + rule.percent) * (sizes - differ) >= 2 * least)
+    return (100 + rule.percent) * (sizes - differ) >= 2 * rule.percent * sizes
 
 
 def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str) -> DataFrame:
@@ -150,23 +150,23 @@ def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str
     by_rep = Window.partitionBy("rep", "n")
     # Postings that occur once come first in the order of rarity, and need no list.
     lists = posted.join(shared, "key").withColumn("r", F.row_number().over(by_rep.orderBy("df", "key"))).withColumn("many", F.count(F.lit(1)).over(by_rep))
-    lists = staged(lists.where(F.col("r") <= F.col("many") - F.lit(rule.matches - 1)).select("key", "rep", "n", F.col("n").alias("most"), (F.col("many") / rule.coordinates).alias("central"), *[F.lit(0).cast("long").alias(b) for b in _bits(rule)]), "near-lists")
+    lists = staged(lists.where(F.col("r") <= F.col("many") - F.lit(rule.matches - 1)).select("key", "rep", "n", F.col("n").alias("most"), (F.col("many") / rule.coordinates).alias("central")), "near-lists")
 
     ids = lists.select("rep").distinct()
     d = docs.select(F.col(f"`{key}`").cast("long").alias("rep"), F.col(f"`{text}`").cast("string").alias("text"))
     texts = staged(d.join(ids, "rep", "left_semi").dropDuplicates(["rep", "text"]), "near-texts")
     sigs = reps.join(ids, "rep", "left_semi").select("rep", "n", "sig")
 
-    comp, edges, before = None, None, float("inf")
+    comp, edges, bits, before = None, None, None, float("inf")
     for turn in range(rule.star_rounds + 1):
         if turn == 1:
-            lists = _rarer(lists, open_, texts, rule)
+            lists, bits = _rarer(lists, open_, texts, rule)
         m = lists.withColumn("comp", F.col("rep")) if comp is None else lists.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
         # Two hubs: the set with the largest shared part, as copies with few changes of their own are near to most others, and a varying one.
         rank = F.xxhash64("rep", F.lit(turn)).alias("h")
-        central, other = F.max(F.struct("central", rank, "rep", "n", "most", *_bits(rule))), F.min(F.struct(rank, "rep", "n", "most", *_bits(rule)))
+        central, other = F.max(F.struct("central", rank, "rep", "n", "most")), F.min(F.struct(rank, "rep", "n", "most"))
         per_comp = m.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("k"), central.alias("middle"), other.alias("other"))
-        hub = lambda c: F.struct(*[F.col(f"{c}.{x}").alias(x) for x in ("rep", "n", "most", *_bits(rule))], "comp")
+        hub = lambda c: F.struct(*[F.col(f"{c}.{x}").alias(x) for x in ("rep", "n", "most")], "comp")
         per_key = per_comp.groupBy("key").agg(
             F.count(F.lit(1)).alias("comps"), F.sum("k").alias("all"), F.sum(F.col("k") * F.col("k")).alias("inside"),
             # The hubs come from the list's largest component.
@@ -180,8 +180,11 @@ def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str
         before = left
         if last:
             few = m.join(open_.select("key"), "key", "left_semi")
+            if bits is not None:
+                few = few.join(bits, ["rep", "n"])
             x, y = few.alias("x"), few.alias("y")
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & _may_link("x", "y", rule)).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+            allowed = _may_link("x", "y", rule) if bits is None else _may_link("x", "y", rule) & _bits_allow("x", "y", rule)
+            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & allowed).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         else:
             pairs = m.alias("m").join(open_.select("key", F.explode(F.array_distinct("hubs")).alias("hub")), "key").where((F.col("comp") != F.col("hub.comp")) & _may_link("m", "hub", rule)).select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"))
         found = _confirm(pairs.distinct(), sigs, texts, rule)
@@ -192,12 +195,13 @@ def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str
     return comp if comp is not None else ids.where("false").select(F.col("rep").alias("id"), F.col("rep").alias("comp"))
 
 
-def _rarer(lists: DataFrame, open_: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
+def _rarer(lists: DataFrame, open_: DataFrame, texts: DataFrame, rule: NearRule) -> tuple[DataFrame, DataFrame]:
     """Lists of rarer keys for the members of lists that are still open: their full sets' rarest shingles.
 
     A partner shares at least the threshold's part of a set, so one of the first n - needed + 1 shingles in order
     of rarity among these sets; those no other set holds come first and need no list. ``most`` is how many of a
-    set's shingles any other set holds; a set that shares less than needed has no partner left and goes.
+    set's shingles any other set holds; a set that shares less than needed has no partner left and goes. Also returns
+    the sets' bitmaps (rep, n, bits0, ...).
     """
 
     longs = rule.bitmap_longs
@@ -225,7 +229,7 @@ def _rarer(lists: DataFrame, open_: DataFrame, texts: DataFrame, rule: NearRule)
     ranked = held.join(shared, "s").withColumn("r", F.row_number().over(by_rep.orderBy("df", "s"))).withColumn("most", F.count(F.lit(1)).over(by_rep))
     needed = F.ceil(F.col("n") * rule.percent / 100)
     ranked = ranked.where(F.col("r") <= F.col("most") - needed + 1).select(F.col("s").alias("key"), "rep", "n", "most", (F.col("most") / F.col("n")).alias("central"))
-    return staged(ranked.join(sets.drop("set"), ["rep", "n"]), "near-open")
+    return staged(ranked, "near-open"), sets.drop("set")
 
 
 def _confirm(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, rule: NearRule) -> DataFrame:
