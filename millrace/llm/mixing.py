@@ -112,9 +112,15 @@ def mix(docs: DataFrame, rule: MixRule = MixRule(), key: str = "doc_id", source:
     c = cells.alias("c").join(state.alias("t"), F.col("c.src").eqNullSafe(F.col("t.src")), "left").select("c.*", "t.target", "t.lam", "t.scale", "t.full")
     c = c.withColumn("rate", F.when(F.col("size") == 0, 0.0).otherwise(_rate(rule)))
     c = c.withColumn("whole", F.floor("rate").cast("int")).withColumn("part", (F.col("rate") - F.floor("rate")) * F.col("n"))
-    by_size = Window.partitionBy("src").orderBy("size", "bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = c.withColumn("upto", F.sum("part").over(by_size))
-    extra = F.floor(F.col("upto") + 0.5) - F.floor(F.col("upto") - F.col("part") + 0.5)
+    # The running sum goes over a source's sizes first, and over the buckets of one size after that.
+    c = staged(c, "mix-rates")
+    earlier = F.sum("part").over(Window.partitionBy("src").orderBy("size").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = c.groupBy("src", "size").agg(F.sum("part").alias("part")).select(F.col("src").alias("s"), F.col("size").alias("z"), F.coalesce(earlier, F.lit(0.0)).alias("before"))
+    inside = F.sum("part").over(Window.partitionBy("src", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    c = c.withColumn("inside", inside).join(sizes, F.col("src").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z"))).withColumn("upto", F.col("before") + F.col("inside")).drop("s", "z", "before", "inside")
+    # Sums of doubles in two orders may differ in the last digits; rounding them first keeps neighbouring cells' boundaries equal.
+    edge = lambda x: F.floor(F.round(x, 6) + 0.5)
+    extra = edge(F.col("upto")) - edge(F.col("upto") - F.col("part"))
     c = c.withColumn("extra", F.greatest(F.lit(0), F.least(F.col("n"), extra)).cast("long")).drop("upto", "part", "lam", "scale", "full")
     c = _repair(staged(c, "mix-copies"), rule)
 
