@@ -40,7 +40,7 @@ class BrownRule:
     classes: int = 48
     sweeps: int = 8
     head: int = 1 << 18
-    flush: int = 1 << 21
+    flush: int = 1 << 20
 
     @property
     def end(self) -> int:
