@@ -145,7 +145,7 @@ def parse_tsv(spark, sf_dir):
 
 
 @query("parse_labelled", r"""WITH l AS (SELECT doc_id, quality, CASE WHEN doc_id % 5 = 0 THEN ' ' || quality ELSE '__label__' || quality || ' ' || text || ' ' END AS line FROM documents JOIN labels USING (doc_id)),
-s AS (SELECT doc_id, regexp_replace(line, '^\s+|\s+$', '', 'g') AS t FROM l)
+s AS MATERIALIZED (SELECT doc_id, regexp_replace(line, '^\s+|\s+$', '', 'g') AS t FROM l)
 SELECT doc_id, string_split(t, ' ')[1] AS label, substr(t, instr(t, ' ') + 1) AS body FROM s WHERE instr(t, ' ') > 0""")
 def parse_labelled(spark, sf_dir):
     d = _table(spark, sf_dir, "documents").join(_table(spark, sf_dir, "labels"), "doc_id")
@@ -191,7 +191,7 @@ def resume_skip_limit(spark, sf_dir):
 
 _FILTERED = rf"""n AS (SELECT doc_id AS _ord, {_norm('source')} AS title, {_norm("regexp_replace(" + _norm('text') + ", 'https?://[^ ]+', ' ', 'g')")} AS body FROM documents),
 f AS (SELECT _ord, {_contains('title')} OR {_contains('body')} AS found, body AS seen, {_redact('title')} AS title, {_redact('body')} AS body FROM n),
-filtered AS (SELECT _ord, title, body, CASE WHEN seen = '' THEN 'empty_body' WHEN length(body) < 100 THEN 'too_short' WHEN length(body) > 20000 THEN 'too_long' END AS drop_reason,
+filtered AS MATERIALIZED (SELECT _ord, title, body, CASE WHEN seen = '' THEN 'empty_body' WHEN length(body) < 100 THEN 'too_short' WHEN length(body) > 20000 THEN 'too_long' END AS drop_reason,
   sha256({_norm('body')}) AS canonical_hash, {_norm('body')} AS canonical_text, found, seen FROM f)"""
 
 
@@ -238,7 +238,7 @@ _MD5 = rf"""t AS (SELECT doc_id, unnest(string_split({_norm('text')}, ' ')) AS w
 h AS (SELECT doc_id, ('0x' || substr(md5(w), 1, 16))::UBIGINT AS h FROM t WHERE w <> ''),
 b AS (SELECT doc_id, i, count(*) AS n, sum(((h >> i) & 1)::INT) AS ones FROM h, range(64) r(i) GROUP BY 1, 2),
 fp AS (SELECT doc_id, sum(CASE WHEN 2 * ones >= n THEN (1::HUGEINT << i::INT) ELSE 0 END) AS u FROM b GROUP BY 1),
-s AS (SELECT d.doc_id, (CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE coalesce(u, 0) END)::BIGINT AS fp FROM documents d LEFT JOIN fp USING (doc_id))"""
+s AS MATERIALIZED (SELECT d.doc_id, (CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE coalesce(u, 0) END)::BIGINT AS fp FROM documents d LEFT JOIN fp USING (doc_id))"""
 
 
 @query("simhash_md5", f"WITH {_MD5} SELECT doc_id AS _ord, fp FROM s")
@@ -257,7 +257,7 @@ def lsh_bands(spark, sf_dir):
     return f.select("_ord", F.inline(simhash.bands(F.col("fp"))))
 
 
-_FIRST = "g AS (SELECT fp, min(doc_id) AS _ord FROM s GROUP BY fp)"
+_FIRST = "g AS MATERIALIZED (SELECT fp, min(doc_id) AS _ord FROM s GROUP BY fp)"
 
 
 def _first_fps(spark, sf_dir):
@@ -269,7 +269,7 @@ def near_pairs(spark, sf_dir):
     return dedup.near_pairs(staged(_first_fps(spark, sf_dir), "fps"), NEAR_MD5)
 
 
-_GREEDY = """o AS (SELECT fp, _ord, row_number() OVER (ORDER BY _ord) AS k FROM g),
+_GREEDY = """o AS MATERIALIZED (SELECT fp, _ord, row_number() OVER (ORDER BY _ord) AS k FROM g),
 walk AS (SELECT 0::BIGINT AS k, []::BIGINT[] AS kept, []::BIGINT[] AS ids
   UNION ALL SELECT o.k, CASE WHEN len(list_filter(kept, lambda x: bit_count(xor(x, o.fp)) <= 3)) = 0 THEN list_append(kept, o.fp) ELSE kept END,
     CASE WHEN len(list_filter(kept, lambda x: bit_count(xor(x, o.fp)) <= 3)) = 0 THEN list_append(ids, o._ord) ELSE ids END FROM walk JOIN o ON o.k = walk.k + 1)"""
@@ -354,14 +354,14 @@ PLAN = RunConfig(filtering=FILTER, near=NEAR_MD5, quality=QualityConfig(enabled=
 
 _PLAN = rf"""{_FILTERED},
 x AS (SELECT *, row_number() OVER (PARTITION BY canonical_hash ORDER BY _ord) AS copy FROM filtered WHERE drop_reason IS NULL),
-e AS (SELECT * FROM x WHERE copy = 1),
+e AS MATERIALIZED (SELECT * FROM x WHERE copy = 1),
 t AS (SELECT _ord, unnest(string_split(canonical_text, ' ')) AS w FROM e),
 h AS (SELECT _ord, ('0x' || substr(md5(w), 1, 16))::UBIGINT AS h FROM t WHERE w <> ''),
 b AS (SELECT _ord, i, count(*) AS n, sum(((h >> i) & 1)::INT) AS ones FROM h, range(64) r(i) GROUP BY 1, 2),
 u AS (SELECT _ord, sum(CASE WHEN 2 * ones >= n THEN (1::HUGEINT << i::INT) ELSE 0 END) AS u FROM b GROUP BY 1),
-s AS (SELECT _ord, (CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE u END)::BIGINT AS fp FROM u),
-g AS (SELECT fp, min(_ord) AS _ord FROM s GROUP BY fp), {_GREEDY},
-k AS (SELECT unnest(ids) AS _ord FROM (SELECT ids FROM walk ORDER BY k DESC LIMIT 1)),
+s AS MATERIALIZED (SELECT _ord, (CASE WHEN u >= 9223372036854775808 THEN u - 18446744073709551616 ELSE u END)::BIGINT AS fp FROM u),
+g AS MATERIALIZED (SELECT fp, min(_ord) AS _ord FROM s GROUP BY fp), {_GREEDY},
+k AS MATERIALIZED (SELECT unnest(ids) AS _ord FROM (SELECT ids FROM walk ORDER BY k DESC LIMIT 1)),
 w AS (SELECT _ord, canonical_text AS t, list_filter(string_split(canonical_text, ' '), lambda x: x <> '') AS ws FROM e JOIN k USING (_ord)),
 q AS (SELECT _ord, CASE WHEN len(ws) = 0 THEN 0.0 ELSE (length(regexp_replace(t, '[^A-Za-z]', '', 'g'))::DOUBLE / length(t) + len(list_filter(ws, lambda x: length(x) BETWEEN 2 AND 12))::DOUBLE / len(ws)
   + len(list_distinct(ws))::DOUBLE / len(ws) + least(len(ws) / 50.0::DOUBLE, 1.0)) / 4 END AS score FROM w),
