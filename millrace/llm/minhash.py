@@ -52,6 +52,7 @@ class NearRule:
     star_rounds: int = 12
     few_pairs: int = 20_000
     bitmap_longs: int = 16
+    filter_longs: int = 1 << 18
 
     @property
     def prefix(self) -> int:
@@ -125,6 +126,25 @@ def near_components(docs: DataFrame, rule: NearRule = NearRule(), key: str = "do
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("rep", "doc_id").alias("class_id"), own.alias("component_id"), F.coalesce(F.col("doc_id") == own, F.lit(False)).alias("kept"))
 
 
+def _perhaps(docs: DataFrame, ids: DataFrame, rule: NearRule) -> DataFrame:
+    """The rows whose id falls on a bit that some id in ids sets: all that ids holds and few others, so that a join with ids
+    shuffles few texts. The bitmap has a fixed size; where ids are so many that it fills up, the join does the work alone."""
+    size = rule.filter_longs * 64
+    bit = F.pmod(F.xxhash64("rep", F.lit(5)), F.lit(size))
+    word = ids.groupBy((F.floor(bit / 64)).cast("int").alias("w")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int"))).alias("v")).toArrow()
+    longs = np.zeros(rule.filter_longs, np.int64)
+    longs[word["w"].to_numpy()] = word["v"].to_numpy()
+    sent = docs.sparkSession.sparkContext.broadcast(longs.tobytes())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(sent.value, np.uint8)
+        for batch in batches:
+            at = batch.column(2).to_numpy(zero_copy_only=False)
+            yield batch.select([0, 1]).filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
+
+    return docs.where("rep IS NOT NULL").withColumn("bit", bit).mapInArrow(run, "rep long, text string")
+
+
 def _bits(rule: NearRule) -> list[str]:
     return [f"bits{i}" for i in range(rule.bitmap_longs)]
 
@@ -154,7 +174,7 @@ def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str
 
     ids = lists.select("rep").distinct()
     d = docs.select(F.col(f"`{key}`").cast("long").alias("rep"), F.col(f"`{text}`").cast("string").alias("text"))
-    texts = staged(d.join(ids, "rep", "left_semi").dropDuplicates(["rep", "text"]), "near-texts")
+    texts = staged(_perhaps(d, ids, rule).join(ids, "rep", "left_semi").dropDuplicates(["rep", "text"]), "near-texts")
     sigs = reps.join(ids, "rep", "left_semi").select("rep", "n", "sig")
 
     comp, edges, bits, before = None, None, None, float("inf")
@@ -173,6 +193,10 @@ def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str
             F.max_by(F.array(hub("middle"), hub("other")), F.struct(F.col("k"), F.xxhash64("comp", F.lit(turn)))).alias("hubs"),
         ).where("comps > 1")
         open_ = cut(per_key)
+        if turn:
+            # Components only merge, so a closed list stays closed.
+            lists = staged(lists.join(open_.select("key"), "key", "left_semi"), "near-open")
+            m = lists.join(comp.withColumnRenamed("id", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
         left, size = open_.select(F.sum((F.col("all") * F.col("all") - F.col("inside")) / 2), F.sum("all")).first()
         if not left:
             break
