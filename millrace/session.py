@@ -2,8 +2,28 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
+ROOT = Path(__file__).resolve().parents[1]
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Sends the package to the Python workers, once, unless their search path holds it already."""
+    sc = spark.sparkContext
+    paths = [Path.cwd(), *(Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p)]
+    if ROOT in paths or any(str(x).endswith("millrace.zip") for x in sc._python_includes):
+        return
+    bundle = Path(tempfile.mkdtemp(prefix="millrace-code-")) / "millrace.zip"
+    with zipfile.ZipFile(bundle, "w") as z:
+        for f in sorted((ROOT / "millrace").rglob("*.py")):
+            z.write(f, f.relative_to(ROOT))
+    sc.addPyFile(str(bundle))
+
 
 def build_session(app: str = "millrace", master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """A session with UTC time, adaptive execution and skew handling on.
