@@ -95,5 +95,27 @@ def op10_toxicity_ftrl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+OP4_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), s AS MATERIALIZED (
+  SELECT doc_id, list_sort(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END) AS sh FROM w
+), x AS MATERIALIZED (
+  SELECT doc_id, len(sh) AS n, unnest(sh) AS h FROM s
+), p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS c FROM x a JOIN x b ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY 1, 2
+), e AS MATERIALIZED (
+  SELECT a, b FROM p WHERE 100 * c >= 75 * (na + nb - c) UNION ALL SELECT b, a FROM p WHERE 100 * c >= 75 * (na + nb - c)
+), reach AS (
+  SELECT doc_id AS d, doc_id AS r FROM s UNION SELECT reach.d, e.b FROM reach JOIN e ON e.a = reach.r
+), c AS (
+  SELECT d, min(r) AS component_id FROM reach GROUP BY 1
+)
+SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept,
+  CASE WHEN len(sh) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY sh) END AS class_id
+FROM s JOIN c ON c.d = s.doc_id
+"""
+
 QUERIES = {"op1_brown_lm": op1_brown_lm, "op2_hnsw_neighbours": op2_hnsw_neighbours, "op7_html_main_text": op7_html_main_text, "op9_quality_cotraining": op9_quality_cotraining, "op10_toxicity_ftrl": op10_toxicity_ftrl, "op8_benchmark_leaks": op8_benchmark_leaks, "op4_minhash_dedup": op4_minhash_dedup, "op3_source_mix": op3_source_mix, "op5_secret_scan": op5_secret_scan, "op6_chat_windows": op6_chat_windows}
-ORACLES: dict[str, str] = {"op6_chat_windows": OP6_SQL}
+ORACLES: dict[str, str] = {"op4_minhash_dedup": OP4_SQL, "op6_chat_windows": OP6_SQL}

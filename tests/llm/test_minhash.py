@@ -6,6 +6,8 @@ import numpy as np
 
 from millrace.llm import catalogue, minhash, textnum
 
+from .helpers import assert_same
+
 SF = "/root/testdata/sf0.01"
 
 
@@ -87,3 +89,7 @@ def test_word_hashes_do_not_depend_on_place_or_piece():
     assert n.tolist() == [0, 8000, 1, 1]
     assert len(set(h.tolist())) == 4 and h[-2] == h[0] and h[-1] == h[3] and (h[:8000].reshape(-1, 4) == h[:4]).all()
     assert isinstance(h, np.ndarray)
+
+
+def test_query_equals_sql(spark):
+    assert_same(catalogue.op4_minhash_dedup(spark, SF), catalogue.OP4_SQL, SF)
