@@ -117,5 +117,39 @@ SELECT doc_id, len(sh)::BIGINT AS n_shingles, component_id, doc_id = component_i
 FROM s JOIN c ON c.d = s.doc_id
 """
 
+def _op5_sql() -> str:
+    """The scan in SQL. RE2 folds case by Unicode, so letters are spelled out; windows count their characters anew."""
+    word = lambda w: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w)
+    names = "|".join(map(word, ("password", "passwd", "secret", "token"))) + "|" + word("api") + "_?" + word("key")
+    assign = rf"""(?:{names})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)"""
+    run = "[A-Za-z0-9+/_=-]{20,}"
+    allow = secrets.EntropyRule().allow.replace("'", "''")
+    total = lambda xs, to: f"coalesce(list_sum(list_transform({xs}[1:{to}], lambda y: length(y))), 0)"
+
+    def found(kind: int, pattern: str, group: int) -> str:
+        at = f"({total('g', 'i')} + {total('h', 'i - 1')})"
+        return (
+            f"SELECT doc_id, {kind} AS ord, unnest(list_transform(range(1, len(h) + 1), lambda i: {{'start': {at}, 'hit': h[i], 'grp': r[i]}}), recursive := true) FROM "
+            f"(SELECT doc_id, string_split_regex(t, '{pattern}') AS g, regexp_extract_all(t, '{pattern}') AS h, regexp_extract_all(t, '{pattern}', {group}) AS r FROM d)"
+        )
+
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+a AS ({found(0, assign, 1)} UNION ALL {found(1, 'AKIA[A-Z0-9]{12,}', 0)} UNION ALL {found(2, '[0-9a-f]{32,}', 0)}),
+base AS (SELECT doc_id, ord, start, start + length(hit) AS stop FROM a WHERE ord <> 0 OR length(grp) >= 8),
+c AS ({found(3, run, 0)}),
+k AS (SELECT doc_id, start, hit, CASE WHEN regexp_full_match(hit, '[0-9a-fA-F]+') THEN 3.0 WHEN regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[A-Z]') THEN 3.8 ELSE 3.6 END AS bits
+  FROM c WHERE regexp_matches(hit, '[0-9]') AND regexp_matches(hit, '[A-Za-z]') AND NOT regexp_matches(hit, '{allow}')),
+v AS (SELECT doc_id, start, hit, bits, i, string_split(substr(hit, i, 20), '') AS cs FROM (SELECT *, unnest(range(1, length(hit) - 18)) AS i FROM k)),
+e AS (SELECT doc_id, start, hit, i FROM v WHERE list_sum(list_transform(list_distinct(cs), lambda x: -(len(list_filter(cs, lambda y: y = x)) / 20) * log2(len(list_filter(cs, lambda y: y = x)) / 20))) >= bits),
+h AS (SELECT doc_id, start + min(i) - 1 AS start, start + max(i) + 19 AS stop FROM e GROUP BY doc_id, e.start, hit),
+n AS (SELECT h.doc_id, 3 AS ord, h.start, h.stop FROM h WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = h.doc_id AND b.start < h.stop AND h.start < b.stop)),
+s AS (SELECT doc_id, ord, start, ['assign', 'access', 'hex', 'entropy'][ord + 1] || ':' || start || ':' || stop AS span FROM (SELECT * FROM base UNION ALL SELECT * FROM n))
+SELECT d.doc_id, count(s.span) FILTER (s.ord = 0) AS n_assign, count(s.span) FILTER (s.ord = 1) AS n_access, count(s.span) FILTER (s.ord = 2) AS n_hex,
+  sha256(coalesce(string_agg(s.span, ',' ORDER BY s.start, s.ord) FILTER (s.ord < 3), '')) AS base_sha256, coalesce(string_agg(s.span, ',' ORDER BY s.start, s.ord), '') AS spans
+FROM d LEFT JOIN s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
 QUERIES = {"op1_brown_lm": op1_brown_lm, "op2_hnsw_neighbours": op2_hnsw_neighbours, "op7_html_main_text": op7_html_main_text, "op9_quality_cotraining": op9_quality_cotraining, "op10_toxicity_ftrl": op10_toxicity_ftrl, "op8_benchmark_leaks": op8_benchmark_leaks, "op4_minhash_dedup": op4_minhash_dedup, "op3_source_mix": op3_source_mix, "op5_secret_scan": op5_secret_scan, "op6_chat_windows": op6_chat_windows}
-ORACLES: dict[str, str] = {"op4_minhash_dedup": OP4_SQL, "op6_chat_windows": OP6_SQL}
+ORACLES: dict[str, str] = {"op4_minhash_dedup": OP4_SQL, "op5_secret_scan": _op5_sql(), "op6_chat_windows": OP6_SQL}

@@ -4,6 +4,8 @@ import re
 
 from millrace.llm import secrets
 
+from .helpers import assert_same
+
 PATTERNS = [
     ("assign", re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A), lambda m: len(m[2]) >= 8),
     ("access", re.compile(r"AKIA[A-Z0-9]+"), lambda m: len(m[0]) >= 16),
@@ -62,3 +64,12 @@ def test_query_digest_and_empty_table(spark, tmp_path):
     r = op5_secret_scan(spark, str(tmp_path)).first()
     assert (r.n_assign, r.base_sha256) == (1, hashlib.sha256(b"assign:0:17").hexdigest())
     assert secrets.scan(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_query_equals_sql(spark, tmp_path):
+    from millrace.llm import catalogue
+
+    assert_same(catalogue.op5_secret_scan(spark, "/root/testdata/sf0.01"), catalogue.ORACLES["op5_secret_scan"], "/root/testdata/sf0.01")
+    # RE2 takes letters outside ASCII for themselves, too, as classes are spelled out.
+    spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert_same(catalogue.op5_secret_scan(spark, str(tmp_path)), catalogue.ORACLES["op5_secret_scan"], str(tmp_path))
