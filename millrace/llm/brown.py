@@ -64,7 +64,7 @@ def word_counts(texts: DataFrame, rule: BrownRule) -> DataFrame:
             h, first, inverse = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
             return [h], [np.concatenate(groups)[first]], [np.bincount(inverse, weights=np.concatenate(counts)).astype(np.int64)]
 
-        for batch in batches:
+        for batch in textnum.small(batches):
             h, g, _ = _hashed(rule, batch.column(0))
             hashes.append(h)
             groups.append(g)
@@ -138,7 +138,7 @@ def pair_counts(texts: DataFrame, head: Head, rule: BrownRule) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, keys, size = np.zeros(n * n, np.int64), [], 0
-        for batch in batches:
+        for batch in textnum.small(batches):
             h, g, counts = _hashed(rule, batch.column(0))
             x = _with_ends(sent.value.items(h, g, rule), counts, rule.end).astype(np.int64)
             if len(x):
@@ -270,7 +270,7 @@ def score(docs: DataFrame, model: tuple[DataFrame, Head, Tables], rule: BrownRul
         # log10 of P(word | item) for the words of the head: an item of its own has probability 1, a group's word its smoothed share.
         word = np.where(head.item < rule.items, 0.0, np.log10(head.c + 1) - t.group[head.g])
         logs = np.log10(head.c + 1)
-        for batch in batches:
+        for batch in textnum.small(batches):
             h, g, n = _hashed(rule, batch.column(1))
             k, known = head.find(h)
             if len(head.h):

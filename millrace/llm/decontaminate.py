@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.textnum import PIECE, views
+from millrace.llm.textnum import PIECE, small, views
 
 
 @dataclass(frozen=True)
@@ -232,7 +232,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule(), ke
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = Index(sent.value, rule)
-            for batch in batches:
+            for batch in small(batches):
                 texts, rows = views(batch.column(1)), []
                 for i, it, a, b, edits, shared in index.search(texts):
                     rows.append((batch.column(0)[i].as_py(), it, *_original(texts[i], a, b), edits, shared))
@@ -253,7 +253,7 @@ def clean(docs: DataFrame, benchmark: DataFrame, rule: LeakRule = LeakRule(), te
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = Index(sent.value, rule)
-            for batch in batches:
+            for batch in small(batches):
                 bad = {found[0] for found in index.search(views(batch.column(at)))}
                 yield batch if not bad else batch.filter(pa.array([i not in bad for i in range(batch.num_rows)]))
 

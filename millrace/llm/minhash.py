@@ -63,7 +63,7 @@ def _signed_texts(rule: NearRule):
     a, b = textnum.constants(101, rule.coordinates)[:, None], textnum.constants(211, rule.coordinates)[:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textnum.small(batches):
             words, counts = textnum.word_hashes(textnum.views(batch.column(1)))
             at, sizes, sets, signatures = 0, [], [], []
             for n in counts.tolist():
@@ -88,7 +88,7 @@ def _signed_texts(rule: NearRule):
 
 def _confirmed(rule: NearRule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textnum.small(batches):
             hubs = batch.column(0).to_pylist()
             order = sorted(range(len(hubs)), key=lambda i: hubs[i])
             left, right = textnum.views(batch.column(2)), textnum.views(batch.column(3))
@@ -138,7 +138,7 @@ def _perhaps(docs: DataFrame, ids: DataFrame, rule: NearRule) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(sent.value, np.uint8)
-        for batch in batches:
+        for batch in textnum.small(batches):
             at = batch.column(2).to_numpy(zero_copy_only=False)
             yield batch.select([0, 1]).filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1))
 
@@ -231,7 +231,7 @@ def _rarer(lists: DataFrame, open_: DataFrame, texts: DataFrame, rule: NearRule)
     longs = rule.bitmap_longs
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textnum.small(batches):
             words, counts = textnum.word_hashes(textnum.views(batch.column(1)))
             at, sets, bits = 0, [], []
             for n in counts.tolist():

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm.common import staged
-from millrace.llm.textnum import LINE_END, PIECE, views, word_hashes
+from millrace.llm.textnum import LINE_END, PIECE, small, views, word_hashes
 
 
 @dataclass(frozen=True)
@@ -123,7 +123,7 @@ def features(docs: DataFrame, labels: DataFrame, rule: CoRule = CoRule(), label:
     at = _places(d)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             c, m = _viewed(batch, at, rule)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in c], pa.binary()), pa.array([r.tobytes() for r in m], pa.binary())], ["doc_id", "c", "m"])
 
@@ -262,7 +262,7 @@ def keep(docs: DataFrame, model: Model, rule: CoRule = CoRule()) -> DataFrame:
     at = _places(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             c, m = _viewed(batch, at, rule)
             yield batch.filter(pa.array(model.scores(c.astype(float), m.astype(float))[2] >= rule.threshold))
 

@@ -77,6 +77,13 @@ def views(column: pa.Array) -> list[bytes | memoryview]:
     return out
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices, so that a worker's arrays stay small whatever size the engine's batches have."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _pieces(texts: list[bytes | memoryview]) -> Iterator[tuple[list[int], list[bytes | memoryview]]]:
     """Lists of (text number, bytes) of about PIECE bytes; no word is cut."""
     ids, parts, size = [], [], 0

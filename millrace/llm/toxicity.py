@@ -51,7 +51,7 @@ def _buckets(words: np.ndarray, bits: int) -> np.ndarray:
 
 def _featured(rule: FtrlRule):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in textnum.small(batches):
             h, counts = textnum.stem_hashes(textnum.views(batch.column(2)), textnum.NOT_WORD, rule.stems)
             at, out = 0, []
             for n in counts.tolist():
@@ -118,7 +118,7 @@ def score(docs: DataFrame, model: list[tuple[int, float]], rule: FtrlRule = Ftrl
         weight = np.zeros((1 << rule.bits) + 1)
         weight[at] = w
         active = weight != 0
-        for batch in batches:
+        for batch in textnum.small(batches):
             h, counts = textnum.stem_hashes(textnum.views(batch.column(1)), textnum.NOT_WORD, rule.stems)
             begin, out = 0, np.zeros(len(counts))
             for i, n in enumerate(counts.tolist()):
