@@ -1,8 +1,9 @@
 """Benchmark decontamination by q-gram lemma filtering in diagonal bands and banded alignment.
 
 Texts and benchmark items are normalised (lower case, everything but letters and digits is one space). An
-item is cut into units of ``unit`` bytes, half overlapping (shorter items are one unit). A place that matches a
-unit of length L with at most k edits shares at least L - q + 1 - k * q of its q-grams, all on diagonals
+item is cut into units of ``unit`` bytes and again of ``long`` bytes, half overlapping (shorter items are one unit): short
+units find excerpts, any verbatim one of unit + unit // 2 - 1 bytes holds a whole unit, and long ones carry more edits at one
+place. A place that matches a unit of length L with at most k edits shares at least L - q + 1 - k * q of its q-grams, all on diagonals
 (document position minus unit position) within k of each other. So shared q-grams are counted in
 overlapping bands 2k wide, bands that reach the bound are kept, and a banded alignment
 verifies each: a document holds an item if some unit aligns within k edits.
@@ -32,7 +33,8 @@ from millrace.llm.textnum import PIECE, small, views
 @dataclass(frozen=True)
 class LeakRule:
     q: int = 10
-    unit: int = 160
+    unit: int = 53
+    long: int = 160
     rate: float = 0.075
     least: int = 50
     block_bytes: int = 4_000_000
@@ -98,10 +100,13 @@ class Index:
             v = v[int(len(v) > 0 and v[0] == 32) : len(v) - int(len(v) > 1 and v[-1] == 32)]
             if len(v) < rule.least:
                 continue
-            starts = sorted({*range(0, max(1, len(v) - rule.unit + 1), rule.unit // 2), max(0, len(v) - rule.unit)})
-            for s in starts:
+            spans = set()
+            for size in (rule.unit, rule.long):
+                starts = {*range(0, max(1, len(v) - size + 1), size // 2), max(0, len(v) - size)}
+                spans |= {(s, min(len(v), s + size)) for s in starts}
+            for s, e in sorted(spans):
                 self.items.append(item)
-                self.units.append(v[s : s + rule.unit])
+                self.units.append(v[s:e])
         grams = [_grams(u, rule.q) for u in self.units]
         size = [len(g) for g in grams]
         flat = np.concatenate(grams) if grams else np.empty(0, np.uint32)
@@ -159,7 +164,7 @@ class Index:
     def _text(self, v, where, which):
         times = self.first[which + 1] - self.first[which]
         flat = np.repeat(self.first[which] - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())
-        unit, shift = self.unit[flat].astype(np.int64), self.rule.unit
+        unit, shift = self.unit[flat].astype(np.int64), max(self.rule.unit, self.rule.long)
         band = (np.repeat(where, times) - self.place[flat] + shift) // self.k[unit]
         keys, count = np.unique((unit << 40) | band, return_counts=True)
         # Bands 2k wide overlap by half: each is two neighbouring stripes.

@@ -80,3 +80,34 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(1, "abc " * 50)], "doc_id long, text string")
     assert decontaminate.leaks(empty, none).count() == 0 and decontaminate.leaks(one, none).count() == 0 and decontaminate.clean(one, none).count() == 1
     assert decontaminate.align(np.frombuffer(b"abcd", np.uint8), np.frombuffer(b"xxabxcdyy", np.uint8), 1) == (2, 7, 1)
+
+
+def test_excerpts_cut_from_long_items(spark):
+    rng = random.Random(11)
+    items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.1/benchmark.parquet").collect() if len(plain(r.text)) >= 240][:12]
+    clean = "nothing of the kind stands here, only plain words about weather and bread " * 3
+    docs, want = [], set()
+    for item, text in items:
+        v = plain(text).strip(b" ").decode()
+        for size in (80, 100, 125, 145, 160, 180):
+            at = rng.randrange(len(v) - size + 1)
+            want.add((len(docs), item))
+            docs.append((len(docs), clean + v[at : at + size] + " " + clean))
+    df = spark.createDataFrame([*docs, (-1, clean)], "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.leaks(df, bench).collect()}
+    assert len(items) == 12 and want <= got and -1 not in {d for d, _ in got}
+    assert {r.doc_id for r in decontaminate.clean(df, bench).collect()} == {-1}
+
+
+def test_long_units_carry_edits_that_no_short_unit_does():
+    rng = np.random.default_rng(3)
+    item = bytes(rng.choice(list(b"abcdefghijklmnopqrstuvwxyz"), 160).astype(np.uint8))
+    doc = bytearray(item)
+    # Four edits in every 53 bytes, twelve in all, leave runs of many q-grams between them.
+    for start in (2, 42, 82, 122):
+        for at in (start, start + 2, start + 4):
+            doc[at] = ord("0")
+    doc = bytes(doc)
+    found = list(decontaminate.Index([(1, item.decode())], RULE).search([doc]))
+    assert [x[1] for x in found] == [1]
