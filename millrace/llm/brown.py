@@ -1,13 +1,16 @@
 """Class-based bigram language model with classes from exchange clustering.
 
-Counts cover all training texts. A word is known by a 64-bit hash. The ``items`` most frequent words are items of
-their own; every other word belongs to one of ``groups`` items by its last bytes. Exchange clustering moves items
-between classes as long as the mutual information of neighbouring classes rises; it works on the items'
-pair counts, a matrix whose size the rule fixes. A token's probability is
+Counts cover all training texts. A word is known by a 64-bit hash. Clustering starts from the ``items`` most frequent words and
+``groups`` items for all others by their last bytes: exchange moves these between classes as long as the mutual information of
+neighbouring classes rises. Then every word that occurs ``least`` times or more gets a class of its own: each of ``passes`` reads
+of the texts makes a table of all words' neighbours by class, and ``rounds`` times all words go to the class where their neighbours
+are most likely and the classes' statistics are summed again. Groups are left to rarer and unseen words. A token's probability is
 
-    P(class | class before) * P(item | class) * P(word | item's words)
+    P(class | context) * P(word or group | class) * P(word | group's words)
 
-with Witten-Bell smoothed transitions and add-one smoothing inside a group (unknown words share one slot more).
+with Witten-Bell smoothed transitions and add-one smoothing inside a class and a group (unknown words share one slot more). The
+context is the class, as the last read of the texts has it, of the token before: a word of the head has its own, any other its
+group's.
 
 Word counts of the whole corpus are a table. The most frequent words, at most ``head`` of them, are sent to the
 scoring tasks; the rest of a text's words meet their counts in a shuffled join, where no word is
@@ -39,6 +42,9 @@ class BrownRule:
     suffix: int = 2
     classes: int = 48
     sweeps: int = 8
+    least: int = 5
+    passes: int = 2
+    rounds: int = 3
     head: int = 1 << 18
     flush: int = 1 << 20
 
@@ -220,12 +226,146 @@ def exchange(pairs: np.ndarray, rule: BrownRule) -> np.ndarray:
     return cls
 
 
+def _contexts(head: Head, cls: np.ndarray, group: np.ndarray, h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each word's context class, and its place in the head and whether it is there."""
+    k, known = head.find(h)
+    return (np.where(known, cls[k], group[g]) if len(head.h) else group[g]), k, known
+
+
+def neighbour_table(texts: DataFrame, head: Head, cls: np.ndarray, group: np.ndarray, rule: BrownRule) -> DataFrame:
+    """h, g, k, n: for every word (for the end: 0 and rule.groups) the counts n of the context classes k before it, and of those
+    after it as k + classes. A word has one row from each task or flush; all its rows are in one partition."""
+    sent = texts.sparkSession.sparkContext.broadcast((head, cls, group))
+    sides = 2 * rule.classes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, cls, group = sent.value
+        ws, ks, size = [], [], 0
+
+        def rows(words, groups, ks, ns):
+            # All four are sorted by word, then key.
+            first = np.flatnonzero(np.concatenate(([True], words[1:] != words[:-1])))
+            for at in range(0, len(first), 20_000):
+                f = first[at : at + 20_000]
+                stop = first[at + 20_000] if at + 20_000 < len(first) else len(words)
+                cuts = pa.array(np.append(f, stop) - f[0], pa.int32())
+                lists = [pa.ListArray.from_arrays(cuts, pa.array(x[f[0] : stop], t)) for x, t in ((ks, pa.int16()), (ns, pa.int64()))]
+                yield pa.RecordBatch.from_arrays([pa.array(textnum.signed(words[f])), pa.array(groups[f].astype(np.int32)), *lists], ["h", "g", "k", "n"])
+
+        def flushed():
+            h, g = np.concatenate([x[0] for x in ws]), np.concatenate([x[1] for x in ws])
+            word, first, inverse = np.unique(h, return_index=True, return_inverse=True)
+            before, after = (np.concatenate([x[j] for x in ks]) for j in (0, 1))
+            key = np.concatenate((inverse * sides + before, inverse * sides + rule.classes + after))
+            if len(word) * sides <= 8 * len(key):
+                n = np.bincount(key, minlength=len(word) * sides)
+                key = np.flatnonzero(n)
+                n = n[key]
+            else:
+                key, n = np.unique(key, return_counts=True)
+            of = key // sides
+            yield from rows(word[of], g[first][of], key % sides, n)
+
+        for batch in textnum.small(batches):
+            h, g, counts = _hashed(rule, batch.column(0))
+            c, _, _ = _contexts(head, cls, group, h, g)
+            c, h, g = (_with_ends(x, counts, e) for x, e in ((c, rule.classes - 1), (h, 0), (g, rule.groups)))
+            if len(h):
+                ws.append((h, g))
+                ks.append((np.concatenate(([rule.classes - 1], c[:-1])), np.append(c[1:], rule.classes - 1)))
+                # A text's end is followed by nothing; the class after it counts for the end alone.
+                size += len(h)
+            if size > rule.flush:
+                yield from flushed()
+                ws, ks, size = [], [], 0
+        if size:
+            yield from flushed()
+
+    def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = list(batches)
+        if not parts:
+            return
+        t = pa.Table.from_batches(parts).combine_chunks()
+        h, g, lists = t["h"].to_numpy(), t["g"].to_numpy(), t["k"].combine_chunks()
+        k, n = lists.flatten().to_numpy(), t["n"].combine_chunks().flatten().to_numpy()
+        length, start = np.diff(lists.offsets.to_numpy()), lists.offsets.to_numpy()[:-1] - lists.offsets.to_numpy()[0]
+        order = np.argsort(h, kind="stable")
+        word = np.cumsum(np.concatenate(([False], h[order][1:] != h[order][:-1])))
+        cuts = np.searchsorted(word, np.arange(0, int(word[-1]) + 5001, 5000))
+        for a, b in zip(cuts, cuts[1:]):
+            o, w = order[a:b], word[a:b] - word[a]
+            m, first = int(w[-1]) + 1, np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
+            per = length[o]
+            flat = np.repeat(start[o] - (np.cumsum(per) - per), per) + np.arange(per.sum())
+            v = np.bincount(np.repeat(w, per) * sides + k[flat], weights=n[flat], minlength=m * sides).astype(np.int64)
+            at = np.flatnonzero(v)
+            ends = pa.array(np.searchsorted(at, np.arange(m + 1) * sides), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(h[o[first]]), pa.array(g[o[first]]), pa.ListArray.from_arrays(ends, pa.array(at % sides, pa.int16())), pa.ListArray.from_arrays(ends, pa.array(v[at]))],
+                ["h", "g", "k", "n"],
+            )
+
+    schema = "h long, g int, k array<short>, n array<long>"
+    return staged(texts.mapInArrow(run, schema).repartition("h").mapInArrow(merged, schema), "brown-neighbours")
+
+
+def _assign(batch: pa.RecordBatch, logs: np.ndarray, rule: BrownRule) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Groups, counts, best classes (-1 below rule.least) and neighbour counts of a neighbour table's rows."""
+    width, lists = 2 * rule.classes, batch.column(2)
+    at = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy())) * width + lists.flatten().to_numpy()
+    v = np.bincount(at, weights=batch.column(3).flatten().to_numpy(), minlength=batch.num_rows * width).reshape(-1, width)
+    g, c = batch.column(1).to_numpy(), v[:, : rule.classes].sum(axis=1)
+    cls = (v @ logs)[:, : rule.classes - 1].argmax(axis=1)
+    return g, c, np.where(g == rule.groups, rule.classes - 1, np.where(c < rule.least, -1, cls)), v
+
+
+def class_sums(table: DataFrame, logs: np.ndarray, group: np.ndarray, rule: BrownRule) -> np.ndarray:
+    """Neighbour counts of each class, summed over all its words."""
+    k = rule.classes
+    classes = np.append(group, k - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((k, 2 * k))
+        for batch in textnum.small(batches, 5000):
+            g, _, cls, v = _assign(batch, logs, rule)
+            total += np.eye(k)[np.where(cls < 0, classes[g], cls)].T @ v
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total.ravel()[at].astype(np.int64))], ["k", "n"])
+
+    found = table.mapInArrow(run, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(2 * k * k)
+    out[found["k"].to_numpy()] = found["n"].to_numpy()
+    return out.reshape(k, 2 * k)
+
+
+def class_logs(sums: np.ndarray, rule: BrownRule) -> np.ndarray:
+    """log P(neighbour's class | class) for each side, a column for each class."""
+    sides = sums.reshape(rule.classes, 2, rule.classes) + 0.5
+    return np.log(sides / sides.sum(axis=2, keepdims=True)).reshape(rule.classes, -1).T.copy()
+
+
+def word_classes(table: DataFrame, logs: np.ndarray, rule: BrownRule) -> DataFrame:
+    """h, g, c, cls of all words, without the end."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in textnum.small(batches, 5000):
+            g, c, cls, _ = _assign(batch, logs, rule)
+            out = [batch.column(0), batch.column(1), pa.array(c.astype(np.int64)), pa.array(cls.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(out, ["h", "g", "c", "cls"]).filter(pa.array(g < rule.groups))
+
+    return staged(table.mapInArrow(run, "h long, g int, c long, cls int"), "brown-classes")
+
+
 @dataclass
 class Tables:
-    """What scoring needs: log10 of transitions, of emissions of items, and each group's log10 of its smoothing denominator."""
+    """What scoring needs: context and class (-1: its group's) of the head's words, the groups' class, log10 of transitions and of
+    classes' and groups' smoothing denominators, and of groups' emissions."""
 
+    context: np.ndarray
     classes: np.ndarray
+    group_class: np.ndarray
     transition: np.ndarray
+    class_size: np.ndarray
     emission: np.ndarray
     group: np.ndarray
     tokens: int
@@ -234,78 +374,101 @@ class Tables:
 
 
 def fit(train: DataFrame, rule: BrownRule = BrownRule()) -> tuple[DataFrame, Head, Tables]:
-    """Word counts, head and model tables; train has one column, the training texts."""
+    """Words with counts and classes, head and model tables; train has one column, the training texts."""
     counts = staged(word_counts(train, rule), "brown-counts")
     head = head_of(counts, rule)
     pairs = pair_counts(train, head, rule)
-    cls = exchange(pairs, rule)
-    one = np.eye(rule.classes)[cls]
+    items, k = exchange(pairs, rule), rule.classes
+    one = np.eye(k)[items]
     n = one.T @ pairs @ one
+    logs = class_logs(np.concatenate((n.T, n), axis=1), rule)
+    group_class, classes = items[rule.items : rule.end], items[head.item]
+    for _ in range(rule.passes):
+        context = classes
+        table = neighbour_table(train, head, context, group_class, rule)
+        for _ in range(rule.rounds):
+            logs = class_logs(class_sums(table, logs, group_class, rule), rule)
+        words = word_classes(table, logs, rule)
+        found = words.where(F.col("c") >= int(head.c.min()) if len(head.c) else F.lit(False)).select("h", "cls").toArrow()
+        at, known = head.find(found["h"].to_numpy().view(np.uint64))
+        own = np.full(len(head.h), -1)
+        own[at[known]] = found["cls"].to_numpy()[known]
+        classes = np.where(own >= 0, own, group_class[head.g])
+    n = class_sums(table, logs, group_class, rule)[:, :k].T
     before, after, total = n.sum(axis=1), n.sum(axis=0), n.sum()
     kinds = (n > 0).sum(axis=1)
-    unigram = (after + 1) / (total + rule.classes)
+    unigram = (after + 1) / (total + k)
     smooth = (n + (kinds + 1)[:, None] * unigram[None, :]) / (before + kinds + 1)[:, None]
-    size = pairs.sum(axis=0)
-    members = one.sum(axis=0)
-    emission = np.log10((size + 1) / (after + members)[cls])
-    by_group = {r.g: (r.c, r.v) for r in counts.groupBy("g").agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()}
-    own = np.zeros((rule.groups, 2))
-    on = head.item < rule.items
-    np.add.at(own, head.g[on], np.stack([head.c[on], np.ones(on.sum())], axis=1))
-    group = np.array([sum(by_group.get(g, (0, 0))) - own[g].sum() + 1 for g in range(rule.groups)])
-    ends = int(size[rule.end])
-    tokens = int(sum(c for c, _ in by_group.values())) + ends
-    distinct = int(sum(v for _, v in by_group.values())) + (ends > 0)
-    return counts, head, Tables(cls, np.log10(smooth), emission, np.log10(np.maximum(group, 1.0)), tokens, distinct, ends)
+    members = np.bincount(group_class, minlength=k) + np.eye(k)[k - 1]
+    rare, tokens, distinct = np.zeros((rule.groups, 2)), 0, 0
+    for r in words.groupBy("g", F.when(F.col("cls") >= 0, F.col("cls")).otherwise(-1).alias("cls")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect():
+        tokens, distinct = tokens + r.c, distinct + r.v
+        if r.cls < 0:
+            rare[r.g] += r.c, r.v
+        else:
+            members[r.cls] += r.v
+    size = np.log10(np.maximum(after + members, 1))
+    emission = np.log10(rare[:, 0] + 1) - size[group_class]
+    ends = int(pairs.sum(axis=0)[rule.end])
+    return words, head, Tables(context, own, group_class, np.log10(smooth), size, emission, np.log10(rare.sum(axis=1) + 1), int(tokens) + ends, int(distinct) + (ends > 0), ends)
 
 
 def score(docs: DataFrame, model: tuple[DataFrame, Head, Tables], rule: BrownRule = BrownRule(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score, score, perplexity for every row."""
-    counts, head, tables = model
+    words, head, tables = model
     sent = docs.sparkSession.sparkContext.broadcast((head, tables))
     floor = float(np.log10(tables.tokens + tables.distinct + 1))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, t = sent.value
-        # log10 of P(word | item) for the words of the head: an item of its own has probability 1, a group's word its smoothed share.
-        word = np.where(head.item < rule.items, 0.0, np.log10(head.c + 1) - t.group[head.g])
         logs = np.log10(head.c + 1)
+        own = t.classes >= 0
+        cls = np.where(own, t.classes, t.group_class[head.g])
+        word = logs + np.where(own, -t.class_size[cls], t.emission[head.g] - t.group[head.g])
+        unseen = t.emission - t.group
+        stop = np.log10(t.ends + 1) - t.class_size[rule.classes - 1]
         for batch in textnum.small(batches):
             h, g, n = _hashed(rule, batch.column(1))
-            k, known = head.find(h)
+            context, k, known = _contexts(head, t.context, t.group_class, h, g)
             if len(head.h):
-                item = np.where(known, head.item[k], rule.items + g)
-                base, inside = np.where(known, logs[k], 0.0), np.where(known, word[k], -t.group[g])
+                c = np.where(known, cls[k], t.group_class[g])
+                base, inside = np.where(known, logs[k], 0.0), np.where(known, word[k], unseen[g])
             else:
-                item, base, inside = rule.items + g, np.zeros(len(h)), -t.group[g]
-            doc = np.repeat(np.arange(len(n)), n)
-            x = _with_ends(item, n, rule.end)
+                c, base, inside = t.group_class[g], np.zeros(len(h)), unseen[g]
+            doc, end = np.repeat(np.arange(len(n)), n), rule.classes - 1
+            context, c, inside = _with_ends(context, n, end), _with_ends(c, n, end), _with_ends(inside, n, stop)
             whose = np.repeat(np.arange(len(n)), n + 1)
-            c = t.classes[x]
-            path = t.transition[np.concatenate(([rule.classes - 1], c[:-1])), c] + t.emission[x] if len(x) else np.zeros(0)
+            before = np.concatenate(([end], context[:-1])) if len(c) else context
+            value = t.transition[before, c] + inside
             add = lambda v, at: np.bincount(at, weights=v, minlength=len(n))
-            rest = textnum.signed(h[~known])
-            cuts = np.concatenate(([0], np.cumsum(np.bincount(doc[~known], minlength=len(n))))).astype(np.int32)
+            rest = np.flatnonzero(~known)
+            at = rest + doc[rest]
+            cuts = pa.array(np.concatenate(([0], np.cumsum(np.bincount(doc[rest], minlength=len(n))))), pa.int32())
+            lists = [pa.ListArray.from_arrays(cuts, x) for x in (pa.array(textnum.signed(h[rest])), pa.array(before[at], pa.int16()), pa.array(value[at]))]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(n + 1), pa.array(np.bincount(doc[known], minlength=len(n)) + int(t.ends > 0)),
-                    pa.array(add(base, doc) + np.log10(t.ends + 1) - (n + 1) * floor), pa.array(add(inside, doc) + add(path, whose)),
-                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(rest)),
+                    pa.array(add(base, doc) + np.log10(t.ends + 1) - (n + 1) * floor), pa.array(add(value, whose)), *lists,
                 ],
-                ["doc_id", "n_tokens", "known", "base", "model", "rest"],
+                ["doc_id", "n_tokens", "known", "base", "model", "rest", "before", "value"],
             )
 
     d = docs.select(F.col(f"`{key}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    part = d.mapInArrow(run, "doc_id long, n_tokens long, known long, base double, model double, rest array<long>")
+    part = d.mapInArrow(run, "doc_id long, n_tokens long, known long, base double, model double, rest array<long>, before array<short>, value array<double>")
     part = staged(part.withColumn("row", F.monotonically_increasing_id()), "brown-parts")
-    seen = part.select("row", F.explode("rest").alias("h")).join(counts.select("h", "c"), "h")
-    met = seen.groupBy("row").agg(F.sum(F.log10(F.col("c") + 1)).alias("logs"), F.count(F.lit(1)).alias("more"))
-    out = part.drop("rest").join(met, "row", "left")
-    logs = F.coalesce("logs", F.lit(0.0))
-    total = F.col("model") + logs
+    # What a word beyond the head adds to its unseen value: its count inside the group, or all of its own class.
+    x = part.select("row", F.explode(F.arrays_zip("rest", "before", "value")).alias("x"))
+    seen = x.select("row", F.col("x.rest").alias("h"), F.col("x.before").alias("b"), F.col("x.value").alias("value")).join(words.select("h", "c", "cls"), "h")
+    log = F.log10(F.col("c") + 1)
+    transition, size = F.lit(np.ascontiguousarray(tables.transition.ravel())), F.lit(tables.class_size)
+    classed = F.get(transition, F.col("b") * rule.classes + F.col("cls")) - F.get(size, F.col("cls")) - F.col("value")
+    more = F.when(F.col("cls") >= 0, log + classed).otherwise(log)
+    met = seen.groupBy("row").agg(F.sum(log).alias("logs"), F.sum(more).alias("gain"), F.count(F.lit(1)).alias("more"))
+    out = part.drop("rest", "before", "value").join(met, "row", "left")
+    total = F.col("model") + F.coalesce("gain", F.lit(0.0))
     return out.select(
         "doc_id", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).cast("long").alias("n_known"), F.lit(tables.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + logs).alias("base_score"), total.alias("score"), F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
+        (F.col("base") + F.coalesce("logs", F.lit(0.0))).alias("base_score"), total.alias("score"), F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
     )
 
 

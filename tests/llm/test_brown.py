@@ -69,3 +69,30 @@ def test_exchange_raises_mutual_information_and_finds_planted_classes():
         last = w
     cls = brown.exchange(pairs, rule)
     assert cls[12] == 3 and all(len({cls[i] for i in range(12) if of[i] == c}) == 1 for c in range(3)) and len(set(cls[:12])) == 3
+
+
+def test_words_below_the_head_get_classes_from_their_neighbours(spark):
+    # Words in -xx come after "the" or after "we", equally often; rank, counts and last bytes don't tell the two kinds apart.
+    rng = random.Random(8)
+    nouns, verbs = [f"n{i}xx" for i in range(30)], [f"v{i}xx" for i in range(30)]
+    texts = [" ".join(f"the {n} we {v}" for n, v in zip(rng.sample(nouns, 30), rng.sample(verbs, 30), strict=True)) for _ in range(12)]
+    texts += ["the hat we run the cup we sit the bed we eat"] * 30
+    texts += ["we " + t.split(" we ", 1)[1] + " the hat" for t in texts]  # ends after both kinds
+    train = spark.createDataFrame([(t,) for t in texts], "text string")
+    pairs = list(zip(nouns, verbs, strict=True))
+    docs = spark.createDataFrame([(i, f"{a} {p[k]}") for i, (a, p, k) in enumerate((a, p, k) for p in pairs for a in ("the", "we") for k in (0, 1))], "doc_id long, text string")
+    # With head=20, most of the words are beyond what is broadcast; with 1,000, none.
+    for head in (20, 1000):
+        rule = brown.BrownRule(items=8, groups=4, classes=6, head=head)
+        words, _, tables = model = brown.fit(train, rule)
+        got = {r.doc_id: r.score for r in brown.score(docs, model, rule).collect()}
+        right = sum((got[4 * i] > got[4 * i + 1] + 0.3) + (got[4 * i + 3] > got[4 * i + 2] + 0.3) for i in range(30))
+        assert right == 60, (head, right)
+        # The emissions of each class that has members sum to 1.
+        mass = Counter()
+        for r in words.collect():
+            if r.cls >= 0:
+                mass[r.cls] += (r.c + 1) / 10 ** tables.class_size[r.cls]
+        for g, c in enumerate(tables.group_class):
+            mass[int(c)] += 10 ** tables.emission[g]
+        assert all(math.isclose(m, 1) for m in mass.values())
