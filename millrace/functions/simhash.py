@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from functools import lru_cache
+from functools import lru_cache, partial
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -12,42 +13,35 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BITS = 64
+DIGESTS = {"blake2b": partial(hashlib.blake2b, digest_size=8), "md5": partial(hashlib.md5, usedforsecurity=False)}
 
 
-@lru_cache(maxsize=1 << 17)
-def _token_hash(token: str) -> int:
-    return int.from_bytes(hashlib.blake2b(token.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big")
+@lru_cache(maxsize=1 << 18)
+def _token_hash(token: str, digest: str) -> bytes:
+    return DIGESTS[digest](token.encode("utf-8", "surrogatepass")).digest()[:8]
 
 
-def simhash_of(text: str | None) -> int:
-    """Every token votes with its hash's bits; a tie sets the bit; no token gives 0."""
+def simhash_of(text: str | None, digest: str = "blake2b") -> int:
+    """Every token votes with the first 64 bits of its digest; a tie sets the bit; no token gives 0."""
     tokens = (text or "").split()
     if not tokens:
         return 0
-    hashes = np.fromiter((_token_hash(t) for t in tokens), np.uint64, len(tokens))
     votes = np.zeros(BITS, np.int64)
-    for at in range(0, len(hashes), 8192):  # bounded memory for long texts
-        votes += np.unpackbits(hashes[at : at + 8192].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
+    for at in range(0, len(tokens), 8192):  # bounded memory for long texts
+        raw = b"".join([_token_hash(t, digest) for t in tokens[at : at + 8192]])
+        votes += np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     bits = (2 * votes >= len(tokens)).astype(np.uint8)
     return int(np.packbits(bits).view(">i8")[0])
 
 
-@F.pandas_udf(T.LongType())
-def simhash_blake2b(texts: pd.Series) -> pd.Series:
-    return pd.Series([simhash_of(t) for t in texts], dtype="int64")
+def simhash(text: Column, digest: str = "blake2b") -> Column:
+    """simhash_of as an Arrow UDF; digest: blake2b or md5."""
 
+    @F.pandas_udf(T.LongType())
+    def run(texts: pd.Series) -> pd.Series:
+        return pd.Series([simhash_of(t, digest) for t in texts], dtype="int64")
 
-def simhash_md5(text: Column) -> Column:
-    """The same votes over the first eight bytes of each token's MD5, as a Column expression."""
-    tokens = F.filter(F.split(text, " "), lambda t: t != "")
-    hashes = F.transform(tokens, lambda t: F.conv(F.substring(F.md5(t.cast("binary")), 1, 16), 16, -10).cast("long"))
-    zero = F.array_repeat(F.lit(0), BITS)
-    vote = lambda acc, h: F.transform(acc, lambda v, i: v + F.getbit(h, i).cast("int"))
-    bit = lambda votes, n: F.aggregate(
-        F.sequence(F.lit(0), F.lit(BITS - 1)), F.lit(0).cast("long"),
-        lambda acc, i: F.when(2 * F.element_at(votes, i + 1) >= n, acc.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))).otherwise(acc),
-    )
-    return F.when(F.size(tokens) == 0, F.lit(0).cast("long")).otherwise(F.aggregate(hashes, zero, vote, lambda votes: bit(votes, F.size(tokens))))
+    return run(text)
 
 
 def hamming(a: Column, b: Column) -> Column:
@@ -58,3 +52,24 @@ def bands(fp: Column, band_bits: int = 16) -> Column:
     """array<struct<band,segment>>; band 0 holds the lowest bits."""
     mask = (1 << band_bits) - 1
     return F.array(*[F.struct(F.lit(i).alias("band"), F.shiftrightunsigned(fp, band_bits * i).bitwiseAND(F.lit(mask).cast("long")).alias("segment")) for i in range(BITS // band_bits)])
+
+
+def _signed(mask: int) -> int:
+    return mask - (1 << BITS) if mask >> (BITS - 1) else mask
+
+
+def band_masks(band_bits: int = 16) -> list[int]:
+    return [_signed(((1 << band_bits) - 1) << at) for at in range(0, BITS, band_bits)]
+
+
+def block_masks(threshold: int, blocks: int) -> list[int]:
+    """Signed 64-bit masks, each of ``blocks - threshold`` of ``blocks`` parts of the bits: two fingerprints that differ in at most
+    ``threshold`` bits are equal under one of them at least."""
+    edges = [BITS * i // blocks for i in range(blocks + 1)]
+    part = [((1 << (b - a)) - 1) << a for a, b in zip(edges, edges[1:])]
+    return [_signed(sum(c)) for c in combinations(part, blocks - threshold)]
+
+
+def masked(fp: Column, masks: list[int]) -> Column:
+    """array<struct<band,segment>> of the fingerprint under each mask."""
+    return F.array(*[F.struct(F.lit(i).alias("band"), fp.bitwiseAND(F.lit(m).cast("long")).alias("segment")) for i, m in enumerate(masks)])

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import importlib.util
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Patterns whose results must match.
 CONTROL = r"[\x00-\x08\x0B-\x1F\x7F]"
 SPACE = r"[\t-\r\x1C-\x20\x85\xA0\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+#: White space that isn't one single space; the look-ahead passes over printable ASCII by one test.
+MORE_SPACE = rf"(?![\x21-\x7E])(?:(?! ){SPACE}{SPACE}*| {SPACE}+)"
 LINK = r"\[\[(?:[^|\]]+\|([^\]]+)|([^|\]]+))\]\]"
 TEMPLATE = r"\{\{[^{}]*\}\}"
 TABLE = r"\{\|[^{}]*\|\}"
@@ -32,7 +38,7 @@ def strip_space(c: Column | str) -> Column:
 
 def collapse_space(c: Column | str) -> Column:
     """Runs of Unicode white space become one space; none is left at the ends."""
-    return F.trim(F.regexp_replace(_text(c), f"{SPACE}+", " "))
+    return F.trim(F.regexp_replace(_text(c), MORE_SPACE, " "))
 
 
 def normalize_text(c: Column | str, collapse: bool = True) -> Column:
@@ -62,6 +68,31 @@ def wikitext_to_text(c: Column | str, collapse: bool = True) -> Column:
     return normalize_text(strip_tags(strip_reference_marks(wiki_markup(c))), collapse)
 
 
+def parsed_wikitext(c: Column | str, collapse: bool = True, parser: str = "patterns", required: bool = False) -> Column:
+    """wikitext_to_text with a choice of parser: "patterns", or "library" for the optional wikitext library, through an Arrow UDF.
+
+    Without the library, "library" falls back to patterns, or raises ImportError where it is ``required``.
+    """
+    if parser not in ("patterns", "library"):
+        raise ValueError(f"parser must be patterns or library, not {parser!r}")
+    if parser == "patterns":
+        if required:
+            raise ValueError("a required parser must be the library")
+        return wikitext_to_text(c, collapse)
+    if importlib.util.find_spec("mwparserfromhell") is None:
+        if required:
+            raise ImportError("the wikitext library (mwparserfromhell) is required but not installed")
+        return wikitext_to_text(c, collapse)
+
+    @F.pandas_udf(T.StringType())
+    def stripped(texts: pd.Series) -> pd.Series:
+        import mwparserfromhell
+
+        return texts.map(lambda t: None if t is None else str(mwparserfromhell.parse(t).strip_code(normalize=True, collapse=True)))
+
+    return normalize_text(strip_tags(strip_reference_marks(stripped(_text(c)))), collapse)
+
+
 def wiki_url(title: Column | str) -> Column:
     """The article's address: spaces as underscores, and : / ? & = % # left as they are."""
     out = F.url_encode(F.translate(_text(title), " ", "_"))

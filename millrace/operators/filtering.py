@@ -19,10 +19,15 @@ def filter_rows(df: DataFrame, config: FilterConfig = FilterConfig(), keep: tupl
     """All rows, with normalised and redacted fields, canonical_text, canonical_hash and drop_reason (null: kept so far).
 
     Columns in ``keep`` pass unchanged; all others are text. Each step is a projection of its own, so a
-    redacted column is computed once and read by the length checks and the canonical text.
+    redacted column is computed once and read by the length checks and the canonical text. The fields and the reason go
+    through a generator of one row: a later filter on the reason stays above it, where the optimiser would otherwise
+    put every expression behind the reason into the filter again.
     """
+    prior = []
+    if "drop_reason" in df.columns:  # rows that are decided already keep their reason
+        df, keep, prior = df.withColumnRenamed("drop_reason", "__prior"), (*keep, "__prior"), [F.col("__prior")]
     if not config.enabled:
-        return _canonical(df.withColumn("drop_reason", F.lit(None).cast("string")), config)
+        return _canonical(df.withColumn("drop_reason", prior[0] if prior else F.lit(None).cast("string")).drop("__prior"), config)
     title, body, url = config.title_field, config.body_field, config.url_field
     has_url = url in df.columns
     norm = lambda c: normalize_text(F.coalesce(c.cast("string"), F.lit("")), config.normalize_whitespace)
@@ -47,7 +52,7 @@ def filter_rows(df: DataFrame, config: FilterConfig = FilterConfig(), keep: tupl
         seen_title, seen_body = F.col("__before")[title], F.col("__before")[body]
     else:
         seen_title, seen_body = F.col(title), F.col(body)
-    reasons = []
+    reasons = prior
     if config.require_non_empty_title:
         reasons.append(F.when(seen_title == "", EMPTY_TITLE))
     reasons.append(F.when(seen_body == "", EMPTY_BODY))
@@ -56,8 +61,15 @@ def filter_rows(df: DataFrame, config: FilterConfig = FilterConfig(), keep: tupl
     reasons.append(F.when(F.length(body) < config.min_body_chars, TOO_SHORT))
     if config.max_body_chars is not None:
         reasons.append(F.when(F.length(body) > config.max_body_chars, TOO_LONG))
-    out = out.withColumn("drop_reason", F.coalesce(*reasons)).drop("__found", "__before")
-    return _canonical(out, config)
+    out = out.withColumn("drop_reason", F.coalesce(*reasons)).drop("__found", "__before", "__prior")
+    return _canonical(settled(out, keep), config)
+
+
+def settled(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """df with all columns but those in ``keep`` computed at this place: no later predicate is pushed through."""
+    made = [c for c in df.columns if c not in keep]
+    out = df.select(*[c for c in df.columns if c in keep], F.inline(F.array(F.struct(*made))))
+    return out.select(*df.columns)
 
 
 def _canonical(df: DataFrame, config: FilterConfig) -> DataFrame:

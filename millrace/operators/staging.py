@@ -1,4 +1,4 @@
-"""Written intermediate tables in the folder that driver and executors share."""
+"""Written intermediate tables in the folder that driver and executors share, and files by the engine's own file systems."""
 
 from __future__ import annotations
 
@@ -7,18 +7,128 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Tables that ``staged`` wrote and nobody has released yet, oldest first.
+_written: list[str] = []
+
+#: Inputs up to this size are dealt to all cores before work that a scan of few row groups would leave to one.
+SMALL_INPUT = 64 << 20
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; a temporary folder only where none is set."""
+    """spark.checkpoint.dir. Where none is set, a local master gets a temporary folder; on a cluster that is an error,
+    as executors' files in a machine-local folder can't be seen by others."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="millrace-")
         spark.sparkContext.setCheckpointDir(found)
-    return found
+    return found.rstrip("/")
+
+
+def new_path(spark: SparkSession, tag: str) -> str:
+    path = f"{shared_dir(spark)}/millrace-{tag}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
 
 
 def staged(df: DataFrame, tag: str) -> DataFrame:
     """df written as Parquet and reread: lineage ends, size estimates are real, and a lost executor loses nothing."""
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/millrace-core-{tag}-{uuid.uuid4().hex}"
+    path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def mark() -> int:
+    """A point in time for ``release``."""
+    return len(_written)
+
+
+def release(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Deletes the tables staged since a mark; results that still read them must have been written. keep: paths that stay."""
+    for path in _written[since:]:
+        if path not in keep:
+            delete(spark, path)
+    _written[since:] = [p for p in _written[since:] if p in keep]
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A small input's rows dealt to all cores; anything larger stays as it is scanned. Row order and results don't depend on it."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if 0 < size <= SMALL_INPUT and cores > 1 else df
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of the engine, for any scheme it knows."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = file_system(spark, path)
+    return fs.exists(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = file_system(spark, path)
+    fs.delete(p, True)
+
+
+def sizes(spark: SparkSession, folder: str, suffix: str = "") -> dict[str, int]:
+    """Bytes of each file right below a folder, by name; {} where there is no folder."""
+    fs, p = file_system(spark, folder)
+    if not fs.exists(p):
+        return {}
+    found = {s.getPath().getName(): s.getLen() for s in fs.listStatus(p) if s.isFile()}
+    return {name: size for name, size in found.items() if name.endswith(suffix)}
+
+
+def move(spark: SparkSession, old: str, new: str, overwrite: bool = False) -> None:
+    """Renames a file; FileExistsError where the new one is there and may not be replaced."""
+    fs, to = file_system(spark, new)
+    if fs.exists(to):
+        if not overwrite:
+            raise FileExistsError(new)
+        fs.delete(to, False)
+    if not fs.rename(spark._jvm.org.apache.hadoop.fs.Path(old), to):
+        raise OSError(f"{old} could not be renamed to {new}")
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    fs, p = file_system(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Readers see the old file or the new one: the text goes to a file beside it, which then takes its name."""
+    folder, _, name = path.rpartition("/")
+    part = f"{folder}/.{name}.{uuid.uuid4().hex}" if folder else f".{name}.{uuid.uuid4().hex}"
+    fs, p = file_system(spark, part)
+    stream = fs.create(p, True)
+    try:
+        stream.write(bytearray(text.encode("utf-8")))
+    finally:
+        stream.close()
+    replace(spark, part, path)
+
+
+def replace(spark: SparkSession, old: str, new: str) -> None:
+    """Renames over an existing file in one step, where the file system can."""
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(jvm.java.net.URI(_qualified(spark, new)), spark._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(jvm.org.apache.hadoop.fs.Path(old), jvm.org.apache.hadoop.fs.Path(new), options)
+
+
+def _qualified(spark: SparkSession, path: str) -> str:
+    fs, p = file_system(spark, path)
+    return str(fs.makeQualified(p).toString()).replace(" ", "%20")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from millrace.functions import canonical, pii, simhash, text
 from millrace.operators import dedup, quality
 from millrace.operators.filtering import filter_rows, reason_counts
-from millrace.operators.staging import shared_dir, staged
+from millrace.operators.staging import new_path, spread, staged
 from millrace.plans.config import FilterConfig, NearConfig, OutputConfig, QualityConfig, RunConfig
 from millrace.plans.pipeline import ledger
 from millrace.sources import readers, sinks
@@ -59,11 +59,11 @@ def query(name: str, sql: str | None = None):
 
 
 def _docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return readers.read_documents(spark, sf_dir)
+    return spread(readers.read_documents(spark, sf_dir))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 # Scalar functions.
@@ -84,7 +84,7 @@ def normalize_text(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", text.normalize_text("text").alias("cleaned"))
 
 
-@query("html_strip_pages", f"SELECT page_id, {_norm(chr(114) + 'egexp_replace(html, ' + chr(39) + '<[^>]+>' + chr(39) + ', ' + chr(39) + ' ' + chr(39) + ', ' + chr(39) + 'g' + chr(39) + ')')} AS body FROM pages")
+@query("html_strip_pages", f"""SELECT page_id, {_norm("regexp_replace(html, '<[^>]+>', ' ', 'g')")} AS body FROM pages""")
 def html_strip_pages(spark, sf_dir):
     return _table(spark, sf_dir, "pages").select("page_id", text.normalize_text(text.strip_tags("html")).alias("body"))
 
@@ -101,9 +101,10 @@ def wiki_fallback(spark, sf_dir):
 
 
 @query("wiki_url", r"""SELECT doc_id, 'https://en.wikipedia.org/wiki/' || replace(replace(replace(replace(replace(replace(replace(
-  url_encode(replace(substr(text, 1, 40), ' ', '_')), '%3A', ':'), '%2F', '/'), '%3F', '?'), '%26', '&'), '%3D', '='), '%23', '#'), '%25', '%') AS url FROM documents""")
+  url_encode(replace(source || ': ' || text, ' ', '_')), '%3A', ':'), '%2F', '/'), '%3F', '?'), '%26', '&'), '%3D', '='), '%23', '#'), '%25', '%') AS url FROM documents""")
 def wiki_url(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select("doc_id", text.wiki_url(F.substring("text", 1, 40)).alias("url"))
+    """Source and whole text stand for a title, so that all of a text's characters are tried."""
+    return _table(spark, sf_dir, "documents").select("doc_id", text.wiki_url(F.concat("source", F.lit(": "), "text")).alias("url"))
 
 
 @query("pii_detect", f"SELECT doc_id, {_contains('text')} AS found FROM documents")
@@ -159,25 +160,26 @@ def clean_tsv_docs(spark, sf_dir):
     return readers.clean_tsv(_docs(spark, sf_dir)).drop("_ord")
 
 
-@query("clean_wiki_docs", rf"""SELECT doc_id::VARCHAR AS id, {_norm('source')} AS title, {_norm("regexp_replace(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '" + chr(92) + "[[0-9]+" + chr(92) + "]', ' ', 'g'), '<[^>]+>', ' ', 'g')")} AS body,
+@query("clean_wiki_docs", rf"""SELECT doc_id::VARCHAR AS id, {_norm('source')} AS title, {_norm(r"regexp_replace(regexp_replace(regexp_replace(text, '<[^>]+>', ' ', 'g'), '\[[0-9]+\]', ' ', 'g'), '<[^>]+>', ' ', 'g')")} AS body,
   'https://en.wikipedia.org/wiki/' || source AS url, 'wikipedia' AS source, 'latest' AS dump_date FROM documents WHERE length({_norm('text')}) >= 20""")
 def clean_wiki_docs(spark, sf_dir):
     d = _table(spark, sf_dir, "documents").select(F.col("doc_id").alias("_ord"), F.col("doc_id").cast("string").alias("id"), F.col("source").alias("title"), "text")
-    return readers.clean_wiki(d, min_body_chars=20).drop("_ord")
+    return readers.clean_wiki(d, min_body_chars=20).where("drop_reason IS NULL").drop("_ord", "drop_reason")
 
 
-@query("xml_pages")
-def xml_pages(spark, sf_dir):
-    """Every document written as a wiki page and read back by the XML source."""
+def _dump(spark, sf_dir):
+    """Path of a dump that the XML writer makes of all documents; XML has no place for control characters."""
     d = _table(spark, sf_dir, "documents")
-    row = F.struct("source", F.col("doc_id").cast("string"), "text")
-    esc = lambda c: F.replace(F.replace(F.translate(c, "\r", " "), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
-    page = F.concat(F.lit("<page><title>"), esc(row["source"]), F.lit("</title><ns>0</ns><id>"), row["col2"], F.lit("</id><revision><text>"), esc(row["text"]), F.lit("</text></revision></page>"))
-    import uuid
+    page = d.select(F.col("source").alias("title"), F.lit("0").alias("ns"), F.col("doc_id").cast("string").alias("id"), F.struct(text.strip_control("text").alias("text")).alias("revision"))
+    path = new_path(spark, "xml")
+    page.write.option("rootTag", "mediawiki").option("rowTag", "page").format("xml").save(path)
+    return path
+
 
-    path = f"{shared_dir(spark).rstrip('/')}/millrace-core-xml-{uuid.uuid4().hex}"
-    d.select(page.alias("value")).write.text(path)
-    return readers.read_pages(spark, path).drop("_ord")
+@query("xml_pages", f"SELECT doc_id::VARCHAR AS id, source AS title, regexp_replace(text, '{_CONTROL}', ' ', 'g') AS text FROM documents WHERE trim(regexp_replace(text, '{_CONTROL}', ' ', 'g')) <> ''")
+def xml_pages(spark, sf_dir):
+    """Every document written as a page of a dump and read back by the XML source."""
+    return readers.read_pages(spark, _dump(spark, sf_dir)).drop("_ord")
 
 
 @query("resume_skip_limit", f"SELECT doc_id AS _ord, {_norm('text')} AS body FROM documents WHERE doc_id >= 100 AND doc_id < 400")
@@ -224,8 +226,7 @@ def _canonical(spark, sf_dir):
 
 @query("exact_dedup", f"SELECT min(doc_id) AS _ord, sha256({_norm('text')}) AS canonical_hash FROM documents GROUP BY 2")
 def exact_dedup(spark, sf_dir):
-    c = _canonical(spark, sf_dir).select("_ord", "canonical_hash")
-    return c.join(dedup.exact_duplicates(c), "_ord", "left_anti").select("_ord", "canonical_hash")
+    return dedup.exact_kept(_canonical(spark, sf_dir).select("_ord", "canonical_hash")).select("_ord", "canonical_hash")
 
 
 @query("exact_dup_groups", f"SELECT sha256({_norm('text')}) AS canonical_hash, count(*) AS copies, min(doc_id) AS first FROM documents GROUP BY 1 HAVING count(*) > 1")
@@ -389,23 +390,23 @@ def shard_manifest(spark, sf_dir):
     return sinks.shard_manifest(staged(kept, "kept"), OutputConfig(shard_rows=128, prefix="docs"))
 
 
-@query("streaming_dedup", f"SELECT min(doc_id) AS _ord FROM documents GROUP BY sha256({_norm('text')})")
+@query("streaming_dedup", f"SELECT min(doc_id) AS _ord, sha256({_norm('text')}) AS canonical_hash FROM documents GROUP BY 2")
 def streaming_dedup(spark, sf_dir):
-    """Exact dedup over a stream that reads the table in micro-batches and joins each with what was kept before."""
+    """Exact dedup over a stream whose files come in input order, one a micro-batch, each joined with what was kept before."""
     from millrace.streaming import incremental
 
-    base = f"{shared_dir(spark).rstrip('/')}/millrace-core-stream"
-    import uuid
-
-    base = f"{base}-{uuid.uuid4().hex}"
-    _docs(spark, sf_dir).repartitionByRange(3, "_ord").sortWithinPartitions("_ord").write.parquet(f"{base}/in")
-    rows = spark.readStream.schema(_docs(spark, sf_dir).schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(f"{base}/in")
+    base = new_path(spark, "stream")
+    rows = readers.read_documents(spark, sf_dir)
+    lo, hi = rows.agg(F.min("_ord"), F.max("_ord")).first()
+    step = 1 if lo is None else (hi - lo) // 3 + 1
+    for k in range(3):
+        # Files are taken by their time of writing.
+        part = rows if lo is None else rows.where((F.col("_ord") >= lo + k * step) & (F.col("_ord") < lo + (k + 1) * step))
+        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(f"{base}/in")
     config = RunConfig(filtering=FilterConfig(enabled=False), near=NearConfig(enabled=False))
-    incremental.start(rows, f"{base}/out", f"{base}/checkpoint", config).awaitTermination()
-    kept = spark.read.parquet(f"{base}/out").where("drop_reason IS NULL").select("_ord", "canonical_hash")
-    # Files of one batch come in any order: of each hash's kept rows the batches leave one, whose group's smallest _ord is the answer.
-    first = _canonical(spark, sf_dir).groupBy("canonical_hash").agg(F.min("_ord").alias("_ord"))
-    return first.join(kept.select("canonical_hash"), "canonical_hash").select("_ord")
+    incremental.start(stream, f"{base}/out", f"{base}/checkpoint", config).awaitTermination()
+    return incremental.results(spark, f"{base}/out").where("drop_reason IS NULL").select("_ord", "canonical_hash")
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,8 @@ class FilterConfig:
 
 @dataclass(frozen=True)
 class NearConfig:
-    """simhash: "blake2b" or "md5". bucket_cap: None compares whole buckets; a number keeps each bucket's first members only and may lose pairs."""
+    """simhash: "blake2b" or "md5". bucket_cap: None compares whole buckets; a number keeps each bucket's first members only and may lose pairs.
+    many: above so many fingerprints longer keys than bands find the same pairs."""
 
     enabled: bool = True
     simhash_bits: int = 64
@@ -34,6 +35,7 @@ class NearConfig:
     hamming_threshold: int = 3
     simhash: str = "blake2b"
     bucket_cap: int | None = None
+    many: int = 1 << 20
 
     def __post_init__(self):
         if self.simhash_bits != 64:

@@ -27,6 +27,7 @@ def ledger(rows: DataFrame, config: RunConfig = RunConfig(), model: quality.Qual
     their quality is known, so a poor first copy still shadows later ones.
     """
     filtered = filter_rows(rows, config.filtering)
+    # Fingerprints are taken in the scan, of rows that passed the filter: taking them after exact dedup would shuffle every text once more.
     base = staged(dedup.fingerprints(filtered, config.near) if config.near.enabled else filtered.withColumn("fp", F.lit(None).cast("long")), "filtered")
     alive = base.where("drop_reason IS NULL")
     decided = None

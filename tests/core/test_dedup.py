@@ -82,3 +82,20 @@ def test_exact_index_and_bad_keys(spark):
     assert {r._ord for r in dedup.exact_duplicates(df, index).collect()} == {0, 2}
     with pytest.raises(PySparkException):
         dedup.checked_index(index.withColumn("canonical_hash", F.lit("not-hex"))).collect()
+
+
+def test_long_chain_and_rounds(spark):
+    """A path of 1,000 nodes in order keeps every other one; rounds and one walk decide alike."""
+    edges = spark.createDataFrame([(i, i + 1) for i in range(999)], "lo long, hi long").repartition(4)
+    assert sorted(r.node for r in dedup.greedy_dropped(edges).collect()) == list(range(1, 1000, 2))
+    short = edges.where("hi < 12")
+    assert sorted(r.node for r in dedup.greedy_dropped(short, finish=1).collect()) == list(range(1, 12, 2))
+    assert dedup.greedy_dropped(edges.where("false")).count() == 0
+
+
+def test_long_keys_find_the_pairs_of_bands(spark):
+    items = family(4, 200)
+    df = spark.createDataFrame(items, "_ord long, fp long").dropDuplicates(["fp"])
+    pairs = lambda c: sorted((r.lo, r.hi) for r in dedup.near_pairs(df, c).collect())
+    for threshold in (1, 2, 3):
+        assert pairs(NearConfig(hamming_threshold=threshold, many=0)) == pairs(NearConfig(hamming_threshold=threshold))

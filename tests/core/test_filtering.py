@@ -44,3 +44,18 @@ def test_config():
     assert malformed_policy(" Raise ") == "raise"
     with pytest.raises(ValueError):
         malformed_policy("ignore")
+
+
+def test_plan_holds_each_expression_once(spark):
+    """A filter on the reason must not be pushed into the expressions behind it."""
+    from millrace.plans import catalogue
+
+    plan = catalogue.filter_kept(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter isnull(drop_reason" in plan
+    assert plan.lower().count("regexp_replace(") <= 24 and plan.count("RLIKE(") <= 24
+
+
+def test_earlier_reasons_stay(spark):
+    df = spark.createDataFrame([(0, "x" * 30, "malformed"), (1, "y" * 30, None), (2, "", None)], "_ord long, body string, drop_reason string")
+    for on, want in ((True, ["malformed", None, "empty_body"]), (False, ["malformed", None, None])):
+        assert [r.drop_reason for r in filter_rows(df, FilterConfig(enabled=on)).orderBy("_ord").collect()] == want

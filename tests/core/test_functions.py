@@ -1,6 +1,5 @@
 import hashlib
 
-import re
 import urllib.parse
 
 import numpy as np
@@ -16,23 +15,23 @@ def column(spark, values, c):
     return [r[0] for r in spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i long, t string").orderBy("i").select(c).collect()]
 
 
-def norm(t):
-    return re.sub(r"\s+", " ", re.sub(r"[\x00-\x08\x0b-\x1f\x7f]", " ", t)).strip()
-
-
 def test_normalise(spark):
-    assert column(spark, NASTY, text.normalize_text("t")) == [norm(t) for t in NASTY]
+    want = ["abc def", "a b c d é x", "a b", "", "x y z", "'''T''' [[A|B]] [[C]] [[A|[[B]]]] [[A|]] {{a{{b}}c}} {| t |} <i>x</i> [12] [x]", "٣٤٥٦٧٨٩٠ 1999-2004"]
+    assert column(spark, NASTY, text.normalize_text("t")) == want
     assert column(spark, [" \n a \t b "], text.normalize_text("t", collapse=False)) == ["a \t b"]
 
 
 def test_wiki_markup(spark):
-    def plain(t):
-        t = re.sub(r"\[\[([^|\]]+)(?:\|([^\]]+))?\]\]", lambda m: m[2] or m[1], t).replace("'''", "").replace("''", "")
-        for p in (r"\{\{[^{}]*\}\}", r"\{\|[^{}]*\|\}", r"<[^>]+>"):
-            t = re.sub(p, " ", t)
-        return norm(re.sub(r"<[^>]+>", " ", re.sub(r"\[[0-9]+\]", " ", t)))
+    assert column(spark, NASTY[5:], text.wikitext_to_text("t")) == ["T B C [[B]] [[A|]] {{a c}} x [x]", "٣٤٥٦٧٨٩٠ 1999-2004"]
+    assert column(spark, ["a[1]b<ref name=x>c</ref> ''d''"], text.wikitext_to_text("t")) == ["a b c d"]
+
 
-    assert column(spark, NASTY, text.wikitext_to_text("t")) == [plain(t) for t in NASTY]
+def test_parser_modes(spark):
+    assert column(spark, ["[[A|b]]"], text.parsed_wikitext("t", parser="library")) == ["b"]
+    with pytest.raises(ImportError):
+        text.parsed_wikitext("t", parser="library", required=True)
+    with pytest.raises(ValueError):
+        text.parsed_wikitext("t", parser="other")
 
 
 def test_wiki_url(spark):
@@ -67,7 +66,7 @@ def slow_simhash(t, digest):
 @pytest.mark.parametrize("kind", ["blake2b", "md5"])
 def test_simhash(spark, kind):
     texts = ["", "one", "a b c d a", "the quick brown fox " * 5, "Ω é"]
-    c = simhash.simhash_blake2b("t") if kind == "blake2b" else simhash.simhash_md5(F.col("t"))
+    c = simhash.simhash(F.col("t"), kind)
     digest = (lambda b: hashlib.blake2b(b, digest_size=8).digest()) if kind == "blake2b" else (lambda b: hashlib.md5(b).digest())
     assert [x & (2**64 - 1) for x in column(spark, texts, c)] == [slow_simhash(t, digest) for t in texts]
     assert column(spark, ["x"], F.size(simhash.bands(F.lit(-1).cast("long")))) == [4]

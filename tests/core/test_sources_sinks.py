@@ -26,11 +26,22 @@ def test_tsv(spark, tmp_path):
     kept = readers.apply_malformed_policy(d).orderBy("_ord").collect()
     assert [(r.doc_id, r.body) for r in kept] == [("D1", "my\tbody"), ("D2", "b�")]
     with pytest.raises(PySparkException):
-        readers.apply_malformed_policy(d, "raise").select("is_malformed").collect()
+        readers.clean_tsv(readers.apply_malformed_policy(d, "raise")).collect()
     dense = readers.dense_order(d).orderBy("_ord").collect()
     assert [r._ord for r in dense] == [0, 1, 2]
-    cleaned = readers.clean_tsv(readers.apply_malformed_policy(d), min_body_chars=4).collect()
-    assert len(cleaned) == 1 and cleaned[0].body == "my body"
+    cleaned = readers.clean_tsv(readers.apply_malformed_policy(d), min_body_chars=4).orderBy("_ord").collect()
+    assert [(r.body, r.drop_reason) for r in cleaned] == [("my body", None), ("b�", "cleaner_dropped")]
+    assert [r.drop_reason for r in readers.clean_tsv(d).orderBy("_ord").collect()] == [None, "malformed", None]
+
+
+def test_broken_and_rootless_pages(spark, tmp_path):
+    page = lambda i, text: f"<page><title>T{i}</title><ns>0</ns><id>{i}</id><revision><text>{text}</text></revision></page>\n"
+    (tmp_path / "d.xml").write_text(page(1, "a") + page(2, "b\x02c") + "<page><title>q</title><ns>0</ns><id>9</id><revision><text>open</revision></page>" + page(3, "c") + "</mediawiki>")
+    scan = readers.scan_pages(spark, str(tmp_path / "d.xml"))
+    assert [r.is_malformed for r in scan.orderBy("_ord").collect()] == [False, True, True, False]
+    assert [r.id for r in readers.read_pages(spark, str(tmp_path / "d.xml")).orderBy("_ord").collect()] == ["1", "3"]
+    with pytest.raises(PySparkException):
+        readers.read_pages(spark, str(tmp_path / "d.xml"), policy="raise").select("title").collect()
 
 
 def test_shards_and_manifest(spark, tmp_path):
