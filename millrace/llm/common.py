@@ -1,38 +1,19 @@
-"""Shared helpers: tables, the shared folder, and native token expressions."""
+"""Shared helpers: tables, written intermediate tables, and native token expressions."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.staging import shared_dir, spread, staged  # noqa: F401
+
 #: A word: a run of anything but space and the five ASCII white-space controls.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (spark.checkpoint.dir); set to a temporary one only where none is set."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="millrace-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found
-
-
-def staged(df: DataFrame, tag: str) -> DataFrame:
-    """Writes df as Parquet into the shared folder and rereads it: lineage ends there, and losing an executor loses nothing."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/millrace-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """A table; a small one's rows are dealt to all cores, a large one is scanned as it lies."""
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def cut(df: DataFrame) -> DataFrame:

@@ -27,9 +27,11 @@ def within(unit, text, k):
 def brute(doc, item):
     v, t = plain(item).strip(b" "), plain(doc)
     if len(v) < RULE.least:
-        return False
-    starts = {*range(0, max(1, len(v) - RULE.unit + 1), RULE.unit // 2), max(0, len(v) - RULE.unit)}
-    return any(within(v[s : s + RULE.unit], t, RULE.budget(len(v[s : s + RULE.unit]))) for s in starts)
+        few = len(v.split()) < RULE.words or len(v) + 2 < RULE.q
+        return bool(v) and (t.strip(b" ") == v if few else b" " + v + b" " in b" " + t + b" ")
+    spans = {(a, a + size) for size in (RULE.unit, RULE.long) for a in {*range(0, max(1, len(v) - size + 1), size // 2), max(0, len(v) - size)}}
+    t = b" " + t.strip(b" ") + b" "  # a text stands between spaces
+    return any(within(v[a:b], t, RULE.budget(len(v[a:b]))) for a, b in spans)
 
 
 def test_edited_passages_equal_brute_force(spark):
@@ -111,3 +113,40 @@ def test_long_units_carry_edits_that_no_short_unit_does():
     doc = bytes(doc)
     found = list(decontaminate.Index([(1, item.decode())], RULE).search([doc]))
     assert [x[1] for x in found] == [1]
+
+
+def test_texts_about_as_long_as_their_item():
+    """A text may be as short as a unit less its edits; every length around the bound, by the full table."""
+    rng = random.Random(7)
+    for size in (50, 51, 52, 53, 54, 60):
+        item = "".join(rng.choice("abcdefghijklmnop") for _ in range(size))
+        index = decontaminate.Index([(1, item)], RULE)
+        for gone in range(0, 9):
+            for _ in range(6):
+                cut = list(item)
+                for _ in range(gone):
+                    del cut[rng.randrange(len(cut))]
+                doc = "".join(cut)
+                assert bool(list(index.search([doc.encode()]))) == brute(doc, item), (size, gone, doc)
+            for doc in (item[gone:], item[: size - gone], item[gone // 2 : size - gone + gone // 2]):
+                assert bool(list(index.search([doc.encode()]))) == brute(doc, item), (size, gone, doc)
+
+
+def test_short_items_are_found_unchanged_between_word_bounds(spark):
+    items = [(1, "What is six times seven?"), (2, "Yes"), (3, "of the sea"), (4, "a b c"), (5, "??")]
+    docs = [(0, "so what is SIX  times seven"), (1, "what is six times seventy"), (2, "yes"), (3, "yes indeed"), (4, " Yes. "), (5, "out of the sea."), (6, "of the sea"), (7, "of the seas"), (8, "a b c"), (9, "so a b c d"), (10, ""), (11, "?"), (12, "x" * 70_000 + " of the sea"), (13, "é of the sea é")]
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = {(0, 1), (2, 2), (4, 2), (5, 3), (6, 3), (8, 4), (12, 3), (13, 3)}
+    for rule in (RULE, decontaminate.LeakRule(block_bytes=8)):
+        rows = decontaminate.leaks(df, bench, rule).collect()
+        assert {(r.doc_id, r.item_id) for r in rows} == want
+        assert {r.doc_id for r in decontaminate.clean(df, bench, rule).collect()} == {d for d, _ in docs} - {d for d, _ in want}
+    at = {(r.doc_id, r.item_id): docs[r.doc_id][1][r.start : r.end] for r in rows}
+    assert at[0, 1] == "what is SIX  times seven" and at[5, 3] == at[12, 3] == at[13, 3] == at[6, 3] == "of the sea" and at[4, 2] == "Yes"
+
+
+def test_ties_repeated_items_and_rows(spark):
+    text = "the quick brown foxes jumped over the lazy dogs near the old river bank"
+    bench = spark.createDataFrame([(1, text), (1, text), (2, text)], "item_id long, text string")
+    rows = decontaminate.leaks(spark.createDataFrame([(7, text), (7, text), (8, text + " " + text)], "doc_id long, text string"), bench).collect()
+    assert sorted((r.doc_id, r.item_id) for r in rows) == [(7, 1), (7, 1), (7, 2), (7, 2), (8, 1), (8, 2)]
