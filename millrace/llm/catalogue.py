@@ -49,31 +49,37 @@ def op6_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = r"""
-WITH t AS (
+WITH RECURSIVE t AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
 ), e AS (
   SELECT conv_id, turn, role, text, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 4 AS tokens,
     4 + length(role) + 2 + length(replace(replace(replace(text, '\', '\\'), '#', '\h'), '</turn>', '\l/turn>')) + 8 AS chars FROM t
 ), p AS (
-  SELECT *, row_number() OVER w AS idx, sum(tokens) OVER w AS stop, first_value(role) OVER w AS head_role, first_value(chars) OVER w AS head_chars,
-    lag(tokens, 1) OVER w AS t1, lag(chars, 1) OVER w AS c1, lag(tokens, 2) OVER w AS t2, lag(chars, 2) OVER w AS c2
+  SELECT *, row_number() OVER w AS idx, (sum(tokens) OVER w - tokens) // 32768 AS block, first_value(role) OVER w = 'system' AND row_number() OVER w > 1 AS sys,
+    first_value(tokens) OVER w AS t0, first_value(chars) OVER w AS c0, lag(tokens, 1) OVER w AS t1, lag(chars, 1) OVER w AS c1, lag(tokens, 2) OVER w AS t2, lag(chars, 2) OVER w AS c2
   FROM e WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), h AS (
+  SELECT *, coalesce(t1 <= 512 AND NOT (sys AND idx = 2), false) AS h1, coalesce(t1 + t2 <= 512 AND NOT (sys AND idx <= 3), false) AS h2, sys AND t0 <= 1024 AS s FROM p
 ), v AS (
-  SELECT *, 2 * ((stop - tokens) // 1280) + CASE WHEN (stop - 1) // 1280 > (stop - tokens) // 1280 THEN 1 ELSE 0 END AS win, head_role = 'system' AND idx > 1 AS sys FROM p
-), f AS (
-  SELECT *, win <> coalesce(lag(win) OVER (PARTITION BY conv_id ORDER BY idx), -1) AS first,
-    c1 IS NOT NULL AND t1 <= 512 AND NOT (sys AND idx = 2) AS h1 FROM v
-), r AS (
-  SELECT *, chars + CASE WHEN first THEN CASE WHEN sys THEN head_chars ELSE 0 END + CASE WHEN h1 THEN c1 ELSE 0 END
-    + CASE WHEN h1 AND c2 IS NOT NULL AND t1 + t2 <= 512 AND NOT (sys AND idx = 3) THEN c2 ELSE 0 END ELSE 0 END AS total FROM f
+  SELECT *, CASE WHEN s THEN t0 ELSE 0 END AS st, CASE WHEN s THEN c0 ELSE 0 END AS sc,
+    CASE WHEN h2 THEN t1 + t2 WHEN h1 THEN t1 ELSE 0 END AS ht, CASE WHEN h2 THEN c1 + c2 WHEN h1 THEN c1 ELSE 0 END AS hc FROM h
+), r AS MATERIALIZED (
+  SELECT conv_id, idx, block, role, text, tokens, chars, CASE WHEN tokens + st + ht <= 2048 THEN st + ht WHEN tokens + st <= 2048 THEN st ELSE 0 END AS rt,
+    CASE WHEN tokens + st + ht <= 2048 THEN sc + hc WHEN tokens + st <= 2048 THEN sc ELSE 0 END AS rc FROM v
+), walk AS (
+  SELECT conv_id, idx, block, rt + tokens AS used, chars + rc AS total FROM r WHERE idx = 1
+  UNION ALL SELECT r.conv_id, r.idx, r.block, CASE WHEN r.block <> walk.block OR walk.used + r.tokens > 2048 THEN r.rt ELSE walk.used END + r.tokens,
+    r.chars + CASE WHEN r.block <> walk.block OR walk.used + r.tokens > 2048 THEN r.rc ELSE 0 END
+  FROM walk JOIN r ON r.conv_id IS NOT DISTINCT FROM walk.conv_id AND r.idx = walk.idx + 1
 )
-SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY idx)) AS turns_sha256,
+SELECT r.conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY r.idx)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY idx) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(total)::BIGINT AS formatted_chars
-FROM r GROUP BY conv_id
+  sha256(coalesce(string_agg(text, '' ORDER BY r.idx) FILTER (role = 'assistant'), '')) AS loss_sha256, sum(total)::BIGINT AS formatted_chars
+FROM r JOIN walk ON r.conv_id IS NOT DISTINCT FROM walk.conv_id AND r.idx = walk.idx GROUP BY r.conv_id
 """
 
+
 def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
