@@ -17,14 +17,17 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import staged
+from millrace.llm.common import new_path, staged
 
 
 @dataclass(frozen=True)
@@ -36,8 +39,7 @@ class GraphRule:
     slots: int = 16
     build: int = 64
     search: int = 96
-    block: int = 256
-    chunk_blocks: int = 16
+    block_bytes: int = 16 << 20
 
 
 class Graph:
@@ -160,11 +162,16 @@ class Graph:
 
 
 def points(embeddings: DataFrame, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """id and v (array of doubles) of every row that takes part."""
-    e = embeddings.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast("array<double>").alias("v"))
+    """id and v of every row that takes part; v has floats where the column has, else doubles."""
+    kind = "array<float>" if embeddings.schema[vector].dataType.simpleString() == "array<float>" else "array<double>"
+    e = embeddings.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{vector}`").cast(kind).alias("v"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     e = e.where(F.col("id").isNotNull() & F.col("v").isNotNull() & (F.size("v") > 0)).where(~bad & F.exists("v", lambda x: x != 0))
-    return e.groupBy("id").agg(F.min(F.transform("v", lambda x: x + F.lit(0.0))).alias("v"))
+    # Adding 0 makes one of the two zeros, so that equal vectors are equal values.
+    return e.groupBy("id").agg(F.min(F.transform("v", lambda x: x + F.lit(0.0).cast(kind[6:-1]))).alias("v"))
+
+
+_NONE = np.iinfo(np.int64).min
 
 
 def build(pts: DataFrame, rule: GraphRule = GraphRule()) -> tuple[DataFrame, int]:
@@ -173,59 +180,89 @@ def build(pts: DataFrame, rule: GraphRule = GraphRule()) -> tuple[DataFrame, int
     few = pts.withColumn("r", F.row_number().over(by_vector)).where(F.col("r") <= rule.top + 1)
     distinct = staged(few.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")).withColumn("h", F.xxhash64("v")), "ann-points")
     shards = max(1, math.ceil(distinct.count() / rule.shard_points))
+    wide = np.float32 if pts.schema["v"].dataType.simpleString() == "array<float>" else np.float64
 
     def shard(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("h", kind="stable").reset_index(drop=True)
-        x = np.stack(rows["v"].to_list())
+        x = np.stack(rows["v"].to_list()).astype(wide)
         keys = (rows["h"].to_numpy().view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) ^ np.uint64(0x5851F42D4C957F2D)
         g = Graph.built(x, keys, rule)
-        ids = np.full((len(x), rule.top + 1), np.iinfo(np.int64).min, np.int64)
+        ids = np.full((len(x), rule.top + 1), _NONE, np.int64)
         for i, a in enumerate(rows["ids"]):
             ids[i, : len(a)] = a
         return pd.DataFrame([{
-            "shard": int(rows["shard"].iloc[0]), "dim": x.shape[1], "ids": ids.tobytes(), "vectors": x.tobytes(), "levels": g.levels.astype(np.int64).tobytes(),
+            "shard": int(rows["shard"].iloc[0]), "dim": x.shape[1], "wide": x.itemsize, "ids": ids.tobytes(), "vectors": x.tobytes(), "levels": g.levels.astype(np.int64).tobytes(),
             "links": [a.tobytes() for a in g.links], "entry": g.entry,
         }])
 
     dealt = distinct.withColumn("dim", F.size("v")).withColumn("shard", F.pmod(F.xxhash64("h", F.lit(11)), F.lit(shards)).cast("int"))
-    schema = "shard int, dim int, ids binary, vectors binary, levels binary, links array<binary>, entry int"
-    return staged(dealt.groupBy("shard", "dim").applyInPandas(lambda rows: shard(rows), schema), "ann-index"), shards
-
-
-def search(queries: DataFrame, index: DataFrame, shards: int, rule: GraphRule = GraphRule()) -> DataFrame:
-    """query_id, rank, vec_id, score: every query's nearest points of all shards; queries: id, v."""
-    chunks = max(1, math.ceil(queries.count() / (rule.block * rule.chunk_blocks)))
-    q = queries.withColumn("chunk", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int")).withColumn("dim", F.size("v"))
-    q = q.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    i = index.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
-
-    def met(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = {"query_id": [], "vec_id": [], "score": []}
-        if len(left) and len(right):
-            s = left.iloc[0]
-            x = np.frombuffer(s["vectors"]).reshape(-1, s["dim"])
-            ids = np.frombuffer(s["ids"], np.int64).reshape(len(x), -1)
-            links = [np.frombuffer(a, np.int32).reshape(len(x), -1) for a in s["links"]]
-            g = Graph(x, rule, np.frombuffer(s["levels"], np.int64), links, int(s["entry"]))
-            for own, v in zip(right["id"].tolist(), right["v"]):
-                v = np.asarray(v, float)
-                found = np.array(g.nearest(v, rule.search))
-                d = np.sqrt(((x[found] - v) ** 2).sum(axis=1))
-                near = ids[found]
-                ok = (near != own) & (near != np.iinfo(np.int64).min)
-                best = sorted(zip(np.broadcast_to(d[:, None], near.shape)[ok].tolist(), near[ok].tolist()))[: rule.top]
-                out["query_id"] += [own] * len(best)
-                out["vec_id"] += [p for _, p in best]
-                out["score"] += [d for d, _ in best]
-        return pd.DataFrame(out).astype({"query_id": "int64", "vec_id": "int64", "score": "float64"})
-
-    found = i.groupBy("shard", "dim", "chunk").cogroup(q.groupBy("shard", "dim", "chunk")).applyInPandas(met, "query_id long, vec_id long, score double")
+    schema = "shard int, dim int, wide int, ids binary, vectors binary, levels binary, links array<binary>, entry int"
+    return staged(dealt.repartition(shards, "shard").groupBy("shard", "dim").applyInPandas(lambda rows: shard(rows), schema), "ann-index"), shards
+
+
+class Best:
+    """Each query's nearest so far, over all shards that a task has met."""
+
+    def __init__(self, queries: int, top: int):
+        self.top, self.rows = top, [[] for _ in range(queries)]
+
+    def add(self, query: int, found: list[tuple[float, int]]) -> None:
+        self.rows[query] = heapq.nsmallest(self.top, self.rows[query] + found)
+
+
+def _searched(sent, rule: GraphRule):
+    """Searches the task's shards for a block of queries; sent: ids and vectors of the block, by dimension."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block = sent.value
+        best = {dim: Best(len(ids), rule.top) for dim, (ids, _) in block.items()}
+        for batch in batches:
+            for k in range(batch.num_rows):
+                s = {name: batch.column(name)[k] for name in batch.schema.names}
+                dim = s["dim"].as_py()
+                if dim not in block:
+                    continue
+                x = np.frombuffer(s["vectors"].as_py(), np.float32 if s["wide"].as_py() == 4 else np.float64).reshape(-1, dim)
+                ids = np.frombuffer(s["ids"].as_py(), np.int64).reshape(len(x), -1)
+                links = [np.frombuffer(a, np.int32).reshape(len(x), -1) for a in s["links"].as_py()]
+                g = Graph(x, rule, np.frombuffer(s["levels"].as_py(), np.int64), links, s["entry"].as_py())
+                for i, (own, v) in enumerate(zip(block[dim][0].tolist(), block[dim][1])):
+                    found = np.array(g.nearest(v.astype(x.dtype), rule.search))
+                    # The graph's distances choose candidates; results are measured anew in double precision.
+                    d = np.sqrt(((x[found].astype(np.float64) - v) ** 2).sum(axis=1))
+                    near = ids[found]
+                    ok = (near != own) & (near != _NONE)
+                    best[dim].add(i, list(zip(np.broadcast_to(d[:, None], near.shape)[ok].tolist(), near[ok].tolist())))
+        rows = [(own, p, d) for dim, (ids, _) in block.items() for own, found in zip(ids.tolist(), best[dim].rows) for d, p in found]
+        columns = list(zip(*rows)) or [()] * 3
+        yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.float64())], ["query_id", "vec_id", "score"])
+
+    return run
+
+
+def search(queries: DataFrame, index: DataFrame, rule: GraphRule = GraphRule()) -> DataFrame:
+    """query_id, rank, vec_id, score: every query's nearest points of all shards; queries: id, v.
+
+    Queries go out in blocks of at most ``block_bytes``, each broadcast once; a block meets each shard where its file lies, so no
+    vector is shuffled, and a task hands on only each query's best over all of its shards.
+    """
+    size = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("v")).alias("dim")).first()
+    blocks = max(1, math.ceil(size.n * (size.dim or 0) * 8 / rule.block_bytes))
+    spark, path = queries.sparkSession, new_path(queries.sparkSession, "ann-found")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))
-    return found.withColumn("rank", rank).where(F.col("rank") <= rule.top).select("query_id", "rank", "vec_id", "score")
+    for k in range(blocks):
+        part = queries.where(F.pmod(F.xxhash64("id", F.lit(31)), F.lit(blocks)) == k).select("id", "v", F.size("v").alias("dim")).toArrow()
+        block = {}
+        for dim in sorted(set(part["dim"].to_pylist())):
+            rows = part.filter(pc.equal(part["dim"], dim))
+            block[dim] = rows["id"].to_numpy(), np.array(rows["v"].combine_chunks().flatten().to_numpy(), np.float64).reshape(-1, dim)
+        found = index.mapInArrow(_searched(spark.sparkContext.broadcast(block), rule), "query_id long, vec_id long, score double")
+        found.withColumn("rank", rank).where(F.col("rank") <= rule.top).select("query_id", "rank", "vec_id", "score").write.mode("append").parquet(path)
+    return spark.read.schema("query_id long, rank int, vec_id long, score double").parquet(path)
 
 
-def nearest(embeddings: DataFrame, every: int = 100, rule: GraphRule = GraphRule()) -> DataFrame:
+def nearest(embeddings: DataFrame, every: int = 100, rule: GraphRule = GraphRule(), key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """Searches the rows whose id is divisible by ``every`` against all rows."""
-    pts = staged(points(embeddings), "ann-rows")
-    index, shards = build(pts, rule)
-    return search(pts.where(F.col("id") % every == 0), index, shards, rule)
+    pts = staged(points(embeddings, key, vector), "ann-rows")
+    index, _ = build(pts, rule)
+    return search(pts.where(F.col("id") % every == 0), index, rule)

@@ -50,3 +50,23 @@ def test_empty_and_single(spark):
     schema = "vec_id long, embedding array<float>"
     assert neighbours.nearest(spark.createDataFrame([], schema)).count() == 0
     assert neighbours.nearest(spark.createDataFrame([(0, [1.0])], schema)).count() == 0
+
+
+def test_recall_over_many_shards_and_query_blocks(spark):
+    """Random directions in 64 dimensions, the hardest case: recall must not fall with the number of shards."""
+    df = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in df.collect()]
+    want = brute(rows, [r for r in rows if r[0] % 100 == 0])
+    for shards in (1, 10, 50):
+        got = {}
+        for r in neighbours.nearest(df, rule=neighbours.GraphRule(shard_points=len(rows) // shards, block_bytes=7 * 64 * 8)).collect():
+            got.setdefault(r.query_id, set()).add(r.vec_id)
+        hit = sum(len({i for _, i in want[q]} & got[q]) for q in want) / sum(map(len, want.values()))
+        print("shards", shards, "recall", hit)
+        assert hit >= 0.95
+
+
+def test_doubles_stay_doubles(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0 + 2e-9, 0.0]), (2, [1.0 + 1e-9, 0.0])]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [2, 1] and got[0].score == 1.0 + 1e-9 - 1.0
