@@ -1,4 +1,8 @@
-"""Connected components by smallest label, with pointer jumping; the state is a small checkpointed table."""
+"""Connected components by smallest label, with pointer jumping; the state is a narrow written table.
+
+Defined results: ids without an edge to another id have no row; a null id has none either; repeated edges and both directions count once; an
+empty table gives an empty result; extra columns are ignored.
+"""
 
 from __future__ import annotations
 
@@ -8,16 +12,16 @@ from pyspark.sql import functions as F
 from millrace.llm.common import cut
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """id, comp (smallest id reachable) for every id in edges (a, b).
 
     Each round takes the smallest label among a node and its neighbours, then the label of that label.
-    The number of rounds is about the logarithm of the longest path; a hot hub's edges are summed map-side.
+    The number of rounds is about the logarithm of the longest path; a hot hub's edges are summed map-side. Labels only fall, so rounds end.
     """
     e = cut(edges.where("a <> b").select("a", "b").distinct())
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("comp")))
-    for _ in range(rounds):
+    while True:
         seen = both.join(labels.select(F.col("id").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
         near = labels.join(seen.withColumnRenamed("a", "id"), "id", "left").select("id", F.col("comp").alias("old"), F.least("comp", "m").alias("comp"))
         up = labels.select(F.col("id").alias("comp"), F.col("comp").alias("above"))
@@ -25,4 +29,3 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         labels = after.select("id", "comp")
         if after.where("comp <> old").isEmpty():
             return labels
-    raise RuntimeError("components did not settle")

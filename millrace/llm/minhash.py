@@ -10,7 +10,8 @@
 3. Lists are merged without emitting all pairs of a group: members are first compared with one hub of
    their list. Lists whose members are in one component already are skipped. Members of the others are posted
    anew under the rarest shingles of their full sets (an exact prefix filter at the similarity threshold) and get
-   other hubs; once few pairs across components are left, or hubs stop helping, all of these are compared.
+   other hubs; once few pairs across components are left, or hubs stop helping, all of these are compared, long lists
+   in cells of two bounded parts each.
 4. A candidate counts its agreeing coordinates; those with ``matches`` or more are confirmed on
    the full shingle sets. Components of confirmed links give the result.
 
@@ -51,6 +52,7 @@ class NearRule:
     matches: int = 34
     star_rounds: int = 12
     few_pairs: int = 20_000
+    part: int = 256
     bitmap_longs: int = 16
     filter_longs: int = 1 << 18
 
@@ -203,12 +205,14 @@ def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str
         last = turn == rule.star_rounds or left <= max(rule.few_pairs, 2 * size) or turn > 1 and left > 0.9 * before
         before = left
         if last:
-            few = m.join(open_.select("key"), "key", "left_semi")
+            few = _cells(m, open_, rule)
             if bits is not None:
                 few = few.join(bits, ["rep", "n"])
             x, y = few.alias("x"), few.alias("y")
             allowed = _may_link("x", "y", rule) if bits is None else _may_link("x", "y", rule) & _bits_allow("x", "y", rule)
-            pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp")) & allowed).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
+            one_cell = (F.col("x.key") == F.col("y.key")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+            across = (F.col("x.i") == F.col("x.j")) | (F.col("x.part") != F.col("y.part"))
+            pairs = x.join(y, one_cell & across & (F.col("x.comp") < F.col("y.comp")) & allowed).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         else:
             pairs = m.alias("m").join(open_.select("key", F.explode(F.array_distinct("hubs")).alias("hub")), "key").where((F.col("comp") != F.col("hub.comp")) & _may_link("m", "hub", rule)).select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"))
         found = _confirm(pairs.distinct(), sigs, texts, rule)
@@ -219,6 +223,15 @@ def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str
     return comp if comp is not None else ids.where("false").select(F.col("rep").alias("id"), F.col("rep").alias("comp"))
 
 
+def _cells(members: DataFrame, open_: DataFrame, rule: NearRule) -> DataFrame:
+    """The members of open lists, dealt to cells (key, i, j): a list is cut into parts of about ``part`` members by a hash, and a cell holds
+    two of its parts (or one, i = j), so that the comparisons of a long list are the work of many tasks."""
+    parts = F.greatest(F.lit(1).cast("long"), F.ceil(F.col("all") / rule.part))
+    m = members.join(open_.select("key", "all"), "key").withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("rep", F.lit(9)), F.col("parts")))
+    cell = F.transform(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1), lambda q: F.struct(F.least(F.col("part"), q).alias("i"), F.greatest(F.col("part"), q).alias("j")))
+    return m.select("key", "rep", "n", "most", "comp", "part", F.inline(cell))
+
+
 def _rarer(lists: DataFrame, open_: DataFrame, texts: DataFrame, rule: NearRule) -> tuple[DataFrame, DataFrame]:
     """Lists of rarer keys for the members of lists that are still open: their full sets' rarest shingles.
 
@@ -261,6 +274,7 @@ def _confirm(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, rule: NearRule
     one = sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
     two = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa"))
     agree = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, x: s + x)
-    c = pairs.join(one, "b").join(two, "a").where(agree >= rule.matches).select("a", "b").distinct()
+    # No distinct here: it would keep the rows of one hub in one task, and stop the engine from splitting them.
+    c = pairs.join(one, "b").join(two, "a").where(agree >= rule.matches).select("a", "b")
     t = c.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a")
     return cut(t.select("a", "b", "ta", "tb").mapInArrow(_confirmed(rule), "a long, b long"))

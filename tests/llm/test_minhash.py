@@ -93,3 +93,37 @@ def test_word_hashes_do_not_depend_on_place_or_piece():
 
 def test_query_equals_sql(spark):
     assert_same(catalogue.op4_minhash_dedup(spark, SF), catalogue.OP4_SQL, SF)
+
+
+def test_recall_of_links_about_the_threshold(spark):
+    """Pairs of all sizes at 75 % and just above or below, against their exact similarity."""
+    rng = random.Random(17)
+    rows, want = [], {}
+    for k in range(3000):
+        n = rng.choice([4, 7, 8, 12, 20, 40, 80, 160, 320])
+        # Shingles of one text are its runs of five words: changing the last c words changes c of them.
+        words = [f"{k}x{j}" for j in range(n + 4)]
+        c = max(0, round(n / 7) + rng.choice([-1, 0, 0, 0, 1]))
+        other = words[: len(words) - c] + [f"{k}y{j}" for j in range(c)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+        both = n - c
+        want[2 * k + 1] = 2 * k if 100 * both >= 75 * (2 * n - both) else 2 * k + 1
+    got = {r.doc_id: r.component_id for r in minhash.near_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    linked = [i for i, c in want.items() if c != i]
+    missed = sum(got[i] != want[i] for i in linked)
+    print("links", len(linked), "missed", missed)
+    assert missed <= 1 and all(got[i] == i for i, c in want.items() if c == i) and len(linked) > 1000
+
+
+def test_long_lists_are_compared_in_cells(spark):
+    """Many texts that share a part but are too different to link, beside pairs of them that do link."""
+    rng = random.Random(23)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    shared, rows = [word() for _ in range(100)], []
+    for i in range(150):
+        own = [word() for _ in range(30)]
+        rows += [(2 * i, " ".join(own + shared)), (2 * i + 1, " ".join(own[:-1] + [word()] + shared))]
+    rule = minhash.NearRule(star_rounds=0, few_pairs=0, part=16)
+    for r in (rule, minhash.NearRule()):
+        got = {x.doc_id: (x.n_shingles, x.component_id) for x in minhash.near_components(spark.createDataFrame(rows, "doc_id long, text string"), r).collect()}
+        assert got == brute(rows)
