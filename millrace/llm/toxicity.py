@@ -6,9 +6,12 @@ so that inflected forms share what is learnt), word pairs and pairs with one wor
 exactly zero, so the model is a short list of (bucket, weight), at most 2**bits long, that is sent to all
 executors.
 
-Labels come from at most ``sample`` labelled rows, chosen by a hash of doc_id: FTRL is sequential, so this
-bounded sample is learnt in one task, in hash order, whatever the size of the input. Scoring covers every
-row in place, without a shuffle.
+Labels come from at most ``sample`` labelled rows and ``sample_bytes`` of their features, chosen by a hash of doc_id: FTRL is
+sequential, so this bounded sample is learnt in one task, in hash order, whatever the size of the input and the length of its texts.
+Scoring covers every row in place, without a shuffle.
+
+The settings in ``FtrlRule`` are the best of 24 (alpha 0.3 or 1, l1 1 or 5, epochs 3 or 5, no stems, three or five lengths) by accuracy on an
+inner fold, the rows whose crc32(doc_id as text) mod 5 is 1, after learning from those where it is 2, 3 or 4; rows where it is 0 had no part in the choice.
 
 Defined results: a null or empty text has the bias as its only feature; rows without a label, or with a null
 one, teach nothing; a doc_id with several labels counts as the largest; without any label all scores are 0;
@@ -32,6 +35,7 @@ from millrace.llm import textnum
 class FtrlRule:
     bits: int = 20
     sample: int = 12_000
+    sample_bytes: int = 256 << 20
     epochs: int = 5
     alpha: float = 1.0
     beta: float = 1.0
@@ -66,8 +70,16 @@ def _learn(rule: FtrlRule):
     """FTRL-proximal over the rows of one partition; yields (bucket, weight) of what isn't zero, the bias as bucket 2**bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(h, y, np.frombuffer(x, np.uint32)) for b in batches for h, y, x in zip(*(c.to_pylist() for c in b.columns))]
-        rows.sort(key=lambda r: (r[0], r[1]))
+        # Rows come in hash order; from the first that exceeds the budget on, none is held.
+        rows, left = [], rule.sample_bytes
+        for b in textnum.small(batches, 100):
+            if left <= 0:
+                continue
+            for h, y, x in zip(*(c.to_pylist() for c in b.columns)):
+                left -= len(x)
+                if left < 0:
+                    break
+                rows.append((h, y, np.frombuffer(x, np.uint32)))
         size = (1 << rule.bits) + 1
         z, n = np.zeros(size), np.zeros(size)
 
@@ -106,7 +118,7 @@ def train(docs: DataFrame, labels: DataFrame, rule: FtrlRule = FtrlRule(), label
     chosen = F.broadcast(known.where(F.pmod(h, F.lit(parts)) < limit))
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").select(h.alias("h"), "y", F.col("text").cast("string").alias("text"))
     featured = rows.mapInArrow(_featured(rule), "h long, y int, x binary")
-    return featured.repartition(1).mapInArrow(_learn(rule), "bucket long, weight double")
+    return featured.repartition(1).sortWithinPartitions("h", "y", "x").mapInArrow(_learn(rule), "bucket long, weight double")
 
 
 def score(docs: DataFrame, model: list[tuple[int, float]], rule: FtrlRule = FtrlRule()) -> DataFrame:
