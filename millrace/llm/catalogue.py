@@ -149,7 +149,7 @@ k AS (SELECT doc_id, start, hit, CASE WHEN regexp_full_match(hit, '[0-9a-fA-F]+'
 v AS (SELECT doc_id, start, hit, bits, i, string_split(substr(hit, i, 20), '') AS cs FROM (SELECT *, unnest(range(1, length(hit) - 18)) AS i FROM k)),
 e AS (SELECT doc_id, start, hit, i FROM v WHERE list_sum(list_transform(list_distinct(cs), lambda x: -(len(list_filter(cs, lambda y: y = x)) / 20) * log2(len(list_filter(cs, lambda y: y = x)) / 20))) >= bits),
 h AS (SELECT doc_id, start + min(i) - 1 AS start, start + max(i) + 19 AS stop FROM e GROUP BY doc_id, e.start, hit),
-n AS (SELECT h.doc_id, 3 AS ord, h.start, h.stop FROM h WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = h.doc_id AND b.start < h.stop AND h.start < b.stop)),
+n AS (SELECT h.doc_id, 3 AS ord, h.start, h.stop FROM h WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = h.doc_id AND b.start <= h.start AND h.stop <= b.stop)),
 s AS (SELECT doc_id, ord, start, ['assign', 'access', 'hex', 'entropy'][ord + 1] || ':' || start || ':' || stop AS span FROM (SELECT * FROM base UNION ALL SELECT * FROM n))
 SELECT d.doc_id, count(s.span) FILTER (s.ord = 0) AS n_assign, count(s.span) FILTER (s.ord = 1) AS n_access, count(s.span) FILTER (s.ord = 2) AS n_hex,
   sha256(coalesce(string_agg(s.span, ',' ORDER BY s.start, s.ord) FILTER (s.ord < 3), '')) AS base_sha256, coalesce(string_agg(s.span, ',' ORDER BY s.start, s.ord), '') AS spans

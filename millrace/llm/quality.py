@@ -128,7 +128,10 @@ def features(docs: DataFrame, labels: DataFrame, rule: CoRule = CoRule(), label:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([r.tobytes() for r in c], pa.binary()), pa.array([r.tobytes() for r in m], pa.binary())], ["doc_id", "c", "m"])
 
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min(label).cast("int").alias("y"))
-    rows = d.mapInArrow(run, "doc_id long, c binary, m binary").join(known, "doc_id", "left")
+    # Rows without an id are spread over all tasks: a left join would deal their one null key to a single one.
+    rows = d.mapInArrow(run, "doc_id long, c binary, m binary")
+    keyed = rows.withColumns({"__none": F.col("doc_id").isNull(), "__key": F.coalesce("doc_id", F.monotonically_increasing_id())})
+    rows = keyed.join(known.select(F.lit(False).alias("__none"), F.col("doc_id").alias("__key"), "y"), ["__none", "__key"], "left").drop("__none", "__key")
     return staged(rows.withColumn("fold", F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(rule.folds)).cast("int")), "quality-views")
 
 

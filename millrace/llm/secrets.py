@@ -29,7 +29,8 @@ class EntropyRule:
 
     A candidate is a maximal run of base64-like characters holding a digit and a letter. Its class
     is hex, mixed (both letter cases) or plain. ``allow`` suppresses known harmless candidates:
-    UUIDs, marked examples and placeholders, and slugs of words and short numbers.
+    UUIDs, marked examples and placeholders (where no other part between / and = is long enough to be a secret of its own), and slugs
+    of words and short numbers.
     """
 
     window: int = 20
@@ -37,7 +38,7 @@ class EntropyRule:
     hex_bits: float = 3.0
     mixed_bits: float = 3.8
     plain_bits: float = 3.6
-    allow: str = r"(?i)example|sample|dummy|placeholder|changeme|xxxx|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^(?:[a-z]+|[0-9]{1,4})(?:[/_=+-]+(?:[a-z]+|[0-9]{1,4}))*$"
+    allow: str = r"(?i)^(?:[^/=]{0,19}[/=])*[^/=]*(?:example|sample|dummy|placeholder|changeme|xxxx)[^/=]*(?:[/=][^/=]{0,19})*$|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^(?:[a-z]+|[0-9]{1,4})(?:[/_=+-]+(?:[a-z]+|[0-9]{1,4}))*$"
 
 
 def _sql(text: str) -> str:
@@ -52,12 +53,25 @@ def _walk(text: str, pattern: str, keep: str, span: str, group: int = 0) -> str:
     p = _sql(pattern)
     zipped = f"transform(arrays_zip(split({text}, {p}, -1), regexp_extract_all({text}, {p}, 0), regexp_extract_all({text}, {p}, {group})), z -> named_struct('gap', z.`0`, 'hit', z.`1`, 'grp', z.`2`))"
     at = "(a.pos + length(x.gap))"
-    walked = (
-        f"aggregate({zipped}, named_struct('pos', 0, 'out', cast(array() as {SPANS})), (a, x) -> named_struct("
-        f"'pos', a.pos + length(x.gap) + coalesce(length(x.hit), 0), "
-        f"'out', CASE WHEN x.hit IS NOT NULL AND ({keep}) THEN concat(a.out, {span.replace('@at', at)}) ELSE a.out END)).out"
-    )
-    return f"CASE WHEN {text} RLIKE {p} THEN {walked} ELSE cast(array() as {SPANS}) END"
+    width = "length(x.gap) + coalesce(length(x.hit), 0)"
+
+    def walked(items: str, begin: str) -> str:
+        return (
+            f"aggregate({items}, named_struct('pos', {begin}, 'out', cast(array() as {SPANS})), (a, x) -> named_struct("
+            f"'pos', a.pos + {width}, 'out', CASE WHEN x.hit IS NOT NULL AND ({keep}) THEN concat(a.out, {span.replace('@at', at)}) ELSE a.out END)).out"
+        )
+
+    total = f"aggregate(c, 0, (s, x) -> s + {width})"
+    return f"CASE WHEN {text} RLIKE {p} THEN {_in_chunks(zipped, total, walked)} ELSE cast(array() as {SPANS}) END"
+
+
+def _in_chunks(items: str, total: str, walk) -> str:
+    """SQL for a walk over items in about sqrt(n) chunks, each from the sum of the totals before it: arrays that grow by copies stay
+    short, so many hits in one text cost little more than in proportion. total: an expression of the chunk ``c``."""
+    chunks = f"transform(array({items}), z -> transform(sequence(0, greatest(0, cast(ceil(size(z) / ceil(sqrt(size(z)))) as int) - 1)), k -> slice(z, k * cast(ceil(sqrt(size(z))) as int) + 1, greatest(1, cast(ceil(sqrt(size(z))) as int)))))[0]"
+    begins = f"aggregate(y, named_struct('pos', 0, 'out', cast(array() as array<int>)), (b, c) -> named_struct('pos', b.pos + {total}, 'out', array_append(b.out, b.pos))).out"
+    both = f"transform(array({chunks}), y -> named_struct('chunks', y, 'begins', {begins}))"
+    return f"transform({both}, w -> flatten(transform(w.chunks, (c, i) -> {walk('c', 'w.begins[i]')})))[0]"
 
 
 def _base(text: str, kind: int) -> str:
@@ -90,7 +104,7 @@ def _entropy(text: str, rule: EntropyRule) -> str:
 def scan(df: DataFrame, key: str = "doc_id", text: str = "text", rule: EntropyRule = EntropyRule()) -> DataFrame:
     """key, base spans (assign, access, hex) and all spans, each sorted by start and kind.
 
-    An entropy span that overlaps a base span says nothing new and is left out; base spans always stay.
+    An entropy span that lies inside a base span says nothing new and is left out; base spans always stay.
     """
     t = df.select(F.col(f"`{key}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("t"))
     return t.select("id", *_found("t", rule)).select("id", "base", _all_spans("base", "extra").alias("spans"))
@@ -102,7 +116,7 @@ def _found(text: str, rule: EntropyRule) -> list[Column]:
 
 
 def _all_spans(base: str, extra: str) -> Column:
-    new = f"filter({extra}, e -> NOT exists({base}, b -> b.start < e.end AND e.start < b.end))"
+    new = f"filter({extra}, e -> NOT exists({base}, b -> b.start <= e.start AND e.end <= b.end))"
     return F.expr(f"IF(size({extra}) = 0, {base}, array_sort(concat({base}, {new}), (l, r) -> CASE WHEN l.start < r.start OR (l.start = r.start AND l.ord < r.ord) THEN -1 WHEN l.start = r.start AND l.ord = r.ord THEN 0 ELSE 1 END))")
 
 
@@ -121,9 +135,19 @@ def redact(df: DataFrame, text: str = "text", mark: str = "<SECRET>", rule: Entr
     source = f"`{text}`"
     found = df.withColumns(dict(zip((base, extra), _found(f"coalesce({source}, '')", rule), strict=True)))
     found = found.withColumn(spans, _all_spans(base, extra))
-    cut = F.expr(
-        f"aggregate({spans}, named_struct('pos', 0, 'out', ''), (a, s) -> named_struct('pos', greatest(a.pos, s.end), "
-        f"'out', CASE WHEN s.start < a.pos THEN a.out ELSE concat(a.out, substring({source}, a.pos + 1, s.start - a.pos), {_sql(mark)}) END), "
-        f"a -> concat(a.out, substring({source}, a.pos + 1)))"
+    # Chunks of spans first, so that no step copies or counts from the start of a long text: a chunk's piece of the text ends with its last span.
+    size = f"cast(ceil(sqrt(size({spans}))) as int)"
+    chunks = f"transform(sequence(0, cast(ceil(size({spans}) / {size}) as int) - 1), k -> slice({spans}, k * {size} + 1, {size}))"
+    bounded = (
+        f"aggregate({chunks}, named_struct('pos', 0, 'out', cast(array() as array<struct<spans:{SPANS},start:int,end:int>>)), (a, c) -> named_struct("
+        f"'pos', greatest(a.pos, array_max(transform(c, s -> s.end))), "
+        f"'out', array_append(a.out, named_struct('spans', c, 'start', a.pos, 'end', greatest(a.pos, array_max(transform(c, s -> s.end)))))))"
+    )
+    piece = "substring(g.t, a.pos - g.start + 1, s.start - a.pos)"
+    marked = (
+        f"aggregate(g.spans, named_struct('pos', g.start, 'out', ''), (a, s) -> named_struct('pos', greatest(a.pos, s.end), "
+        f"'out', CASE WHEN s.start < a.pos THEN a.out ELSE concat(a.out, {piece}, {_sql(mark)}) END)).out"
     )
+    pieces = f"transform(transform(b.out, c -> named_struct('t', substring({source}, c.start + 1, c.end - c.start), 'start', c.start, 'spans', c.spans)), g -> {marked})"
+    cut = F.expr(f"transform(array({bounded}), b -> concat(array_join({pieces}, ''), substring({source}, b.pos + 1)))[0]")
     return found.withColumn(text, F.when(F.size(spans) > 0, cut).otherwise(F.col(source))).drop(spans, base, extra)
