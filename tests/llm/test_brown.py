@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from millrace.llm import brown, catalogue
 
@@ -96,3 +97,49 @@ def test_words_below_the_head_get_classes_from_their_neighbours(spark):
         for g, c in enumerate(tables.group_class):
             mass[int(c)] += 10 ** tables.emission[g]
         assert all(math.isclose(m, 1) for m in mass.values())
+
+
+def test_model_and_scores_equal_plain_sums(spark):
+    """Transitions from counts over the training texts, and each text's log probability, token by token."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}{'ab'[i % 2]}" for i in range(60)]
+    texts = [" ".join(rng.choice(vocabulary[: 5 + 11 * (k % 6)]) for _ in range(rng.randint(0, 25))) for k in range(150)]
+    train = spark.createDataFrame([(t,) for t in texts], "text string").repartition(3)
+    rows = [(i, t) for i, t in enumerate(texts[:40])] + [(100, None), (101, "W3b never seen w1B"), (102, "zz " * 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for head in (15, 1000):
+        rule = brown.BrownRule(items=8, groups=4, classes=6, head=head, least=3, passes=1)
+        words, top, t = model = brown.fit(train, rule)
+        table = {r.h: r for r in words.collect()}
+
+        def tokens(text):
+            out = []
+            for w in (text or "").split():
+                h, g, _ = brown._hashed(rule, pa.array([w]))
+                k, known = top.find(h)
+                row, g = table.get(int(h.view(np.int64)[0])), int(g[0])
+                cls = row.cls if row is not None and row.cls >= 0 else int(t.group_class[g])
+                context = int(t.context[k[0]]) if known[0] else int(t.group_class[g])
+                out.append((cls, context, g, row))
+            return out
+
+        end, n = rule.classes - 1, np.zeros((rule.classes, rule.classes))
+        for text in texts:
+            before = end
+            for cls, context, _, _ in tokens(text):
+                n[before, cls] += 1
+                before = context
+            n[before, end] += 1
+        kinds, unigram = (n > 0).sum(axis=1), (n.sum(axis=0) + 1) / (n.sum() + rule.classes)
+        smooth = (n + (kinds + 1)[:, None] * unigram) / (n.sum(axis=1) + kinds + 1)[:, None]
+        assert np.allclose(10**t.transition, smooth) and np.allclose(smooth.sum(axis=1), 1)
+        got = {r.doc_id: r.score for r in brown.score(docs, model, rule).collect()}
+        for i, text in rows:
+            before, total = end, 0.0
+            for cls, context, g, row in tokens(text):
+                c = row.c if row is not None else 0
+                own = row is not None and row.cls >= 0
+                total += math.log10(smooth[before, cls]) + math.log10(c + 1) - (t.class_size[cls] if own else t.group[g] - t.emission[g])
+                before = context
+            total += math.log10(smooth[before, end]) + math.log10(t.ends + 1) - t.class_size[end]
+            assert math.isclose(got[i], total, rel_tol=1e-9), (i, head)
