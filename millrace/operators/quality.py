@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from typing import Protocol
+import math
+from dataclasses import dataclass, field
+from typing import Any, Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.operators.staging import exists, read_text, write_text
 from millrace.plans.config import QualityConfig
 
 GRID = range(5, 96)
@@ -35,8 +38,9 @@ class HeuristicModel:
 class LinearModel:
     """Hashed words and word pairs with logistic regression, trained and applied by pyspark.ml."""
 
-    def __init__(self, model):
-        self.model = model
+    def __init__(self, model, trained: str | None = None, asked: str | None = None):
+        """trained: the label that the model gives probabilities of; asked: the one that scores are wanted of."""
+        self.model, self.trained, self.asked = model, trained, asked or trained
 
     @staticmethod
     def _stages(features: int):
@@ -48,28 +52,35 @@ class LinearModel:
         return [words, pairs, both, HashingTF(numFeatures=features, inputCol="__grams", outputCol="__features")]
 
     @classmethod
-    def train(cls, samples: DataFrame, epochs: int = 10, features: int = 1 << 16, reg: float = 1e-4) -> LinearModel:
-        """samples: text and label (1.0 is the positive class)."""
+    def train(cls, samples: DataFrame, epochs: int = 10, features: int = 1 << 16, reg: float = 1e-4, positive_label: str | None = None) -> LinearModel:
+        """samples: text and label (1.0 is the positive class, which may have a name)."""
         from pyspark.ml import Pipeline
         from pyspark.ml.classification import LogisticRegression
 
         data = samples.select(F.trim(F.translate("text", "\n", " ")).alias("__text"), F.col("label").cast("double").alias("label"))
         lr = LogisticRegression(featuresCol="__features", labelCol="label", probabilityCol="__p", rawPredictionCol="__raw", predictionCol="__label", maxIter=epochs, regParam=reg)
-        return cls(Pipeline(stages=[*cls._stages(features), lr]).fit(data))
+        return cls(Pipeline(stages=[*cls._stages(features), lr]).fit(data), positive_label)
 
     @classmethod
-    def load(cls, path: str) -> LinearModel:
+    def load(cls, path: str, asked: str | None = None) -> LinearModel:
         from pyspark.ml import PipelineModel
 
-        return cls(PipelineModel.load(path))
+        label = read_text(SparkSession.getActiveSession(), f"{path}/label.txt")
+        return cls(PipelineModel.load(path), label, asked)
 
     def save(self, path: str, overwrite: bool = False) -> None:
         writer = self.model.write()
         (writer.overwrite() if overwrite else writer).save(path)
+        if self.trained is not None:
+            write_text(SparkSession.getActiveSession(), f"{path}/label.txt", self.trained)
 
     def score(self, df: DataFrame, text: str, out: str) -> DataFrame:
+        """The asked label's probability; 0 for a label that the model doesn't know."""
         from pyspark.ml.functions import vector_to_array
 
+        if self.trained is not None and self.asked != self.trained:
+            return df.withColumn(out, F.lit(0.0))
+
         columns = df.columns
         scored = self.model.transform(df.withColumn("__text", F.trim(F.translate(F.col(text), "\n", " "))))
         return scored.select(*columns, vector_to_array("__p")[1].alias(out))
@@ -83,7 +94,9 @@ def model_for(config: QualityConfig, override: QualityModel | None = None) -> Qu
         return override
     if not config.model_path:
         raise ValueError("quality.model_path is needed where quality is enabled")
-    return LinearModel.load(config.model_path)
+    if not exists(SparkSession.getActiveSession(), config.model_path):
+        raise ValueError(f"there is no quality model at {config.model_path}")
+    return LinearModel.load(config.model_path, config.positive_label)
 
 
 def scored(df: DataFrame, config: QualityConfig = QualityConfig(), model: QualityModel | None = None, text: str = "canonical_text", out: str = "quality_score") -> DataFrame:
@@ -117,3 +130,42 @@ def score_stats(df: DataFrame, score: str = "quality_score", order: str = "_ord"
     first = df.where(F.col(score).isNotNull()).select(order, score).orderBy(order).limit(sample)
     q = first.agg(F.percentile(score, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("q"))
     return totals.join(q).select("count", "sum", "mean", "min", "max", F.col("q")[0].alias("p10"), F.col("q")[1].alias("p50"), F.col("q")[2].alias("p90"))
+
+
+@dataclass
+class ScoreStats:
+    """Count, sum, range and first scores, in input order, of any number of runs; ``limit`` bounds what reaches the driver."""
+
+    count: int = 0
+    total: float = 0.0
+    least: float | None = None
+    most: float | None = None
+    first: list[float] = field(default_factory=list)
+
+    @classmethod
+    def of(cls, df: DataFrame, score: str = "quality_score", order: str = "_ord", limit: int = 50_000) -> ScoreStats:
+        s = df.agg(F.count(score).alias("n"), F.sum(score).alias("sum"), F.min(score).alias("min"), F.max(score).alias("max")).first()
+        first = [r[0] for r in df.where(F.col(score).isNotNull()).orderBy(order).limit(limit).select(score).collect()]
+        return cls(s.n, s["sum"] or 0.0, s["min"], s["max"], first)
+
+    def merged(self, later: ScoreStats, limit: int = 50_000) -> ScoreStats:
+        ends = lambda f, *x: f((v for v in x if v is not None), default=None)
+        return ScoreStats(self.count + later.count, self.total + later.total, ends(min, self.least, later.least), ends(max, self.most, later.most), (self.first + later.first)[:limit])
+
+    def quantile(self, share: float) -> float:
+        values = sorted(self.first)
+        at = (len(values) - 1) * share
+        low = math.floor(at)
+        high = min(low + 1, len(values) - 1)
+        return values[low] + (values[high] - values[low]) * (at - low)
+
+    def summary(self) -> dict[str, Any]:
+        marks = {f"p{p}": self.quantile(p / 100) for p in (10, 50, 90)} if self.first else {}
+        return {"count": self.count, "sum": self.total, "mean": self.total / self.count if self.count else 0.0, "min": self.least, "max": self.most, "quantiles": marks}
+
+    def state(self) -> dict[str, Any]:
+        return {"count": self.count, "sum": self.total, "min": self.least, "max": self.most, "first": self.first}
+
+    @classmethod
+    def from_state(cls, state: dict[str, Any]) -> ScoreStats:
+        return cls(int(state.get("count") or 0), float(state.get("sum") or 0.0), state.get("min"), state.get("max"), list(state.get("first") or []))

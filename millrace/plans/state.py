@@ -7,19 +7,33 @@ from dataclasses import asdict
 from pathlib import Path
 from typing import Any
 
+from pyspark.sql import SparkSession
+
+from millrace.operators.staging import exists
 from millrace.plans.config import RunConfig
 from millrace.sources.sinks import load_json, save_json
 
-DEFAULTS: dict[str, Any] = {"processed_input_rows": 0, "kept_rows": 0, "next_shard_index": 0, "drop_reasons": {}, "malformed_rows": 0, "quality": {}, "indexes": {}}
+DEFAULTS: dict[str, Any] = {
+    "processed_input_rows": 0, "kept_rows": 0, "dropped_rows": 0, "malformed_rows": 0, "next_shard_index": 0, "drop_reasons": {}, "dedup": {}, "quality": {}, "stage_seconds": {}, "indexes": {}, "runs": [], "done": False, "source": "",
+}
+
+
+def filled(state: dict[str, Any]) -> dict[str, Any]:
+    """state with what is missing or null set to its default."""
+    return DEFAULTS | {k: v for k, v in state.items() if v is not None}
+
 
+def load_state(spark: SparkSession, path: str | Path) -> dict[str, Any]:
+    found = load_json(spark, path)
+    return filled(found) if found else {}
 
-def load_state(path: str | Path) -> dict[str, Any]:
-    found = load_json(path)
-    return {} if not found else DEFAULTS | found
 
+def save_state(spark: SparkSession, state: dict[str, Any], path: str | Path) -> None:
+    save_json(spark, filled(state), path)
 
-def save_state(state: dict[str, Any], path: str | Path) -> None:
-    save_json(DEFAULTS | state, path)
+
+def index_path(folder: str | Path, name: str) -> str:
+    return f"{str(folder).rstrip('/')}/{name}_index"
 
 
 def index_settings(config: RunConfig) -> dict[str, Any]:
@@ -28,8 +42,13 @@ def index_settings(config: RunConfig) -> dict[str, Any]:
     return {"exact": {"enabled": config.exact}, "near": {k: near[k] for k in ("enabled", "simhash_bits", "band_bits", "hamming_threshold", "simhash")}, "canonical_fields": list(config.filtering.canonical_fields)}
 
 
-def check_resume(state: dict[str, Any], config: RunConfig, folder: str | Path) -> None:
-    """RuntimeError where a run can't go on from the state: other settings, or index tables that are gone."""
+def dedup_state(config: RunConfig, folder: str | Path, inserted: dict[str, int]) -> dict[str, Any]:
+    on = {"exact": config.exact, "near": config.near.enabled}
+    return {name: {"enabled": on[name], "path": index_path(folder, name), "inserted_total": inserted.get(name, 0)} for name in on}
+
+
+def check_resume(spark: SparkSession, state: dict[str, Any], config: RunConfig, folder: str | Path) -> None:
+    """RuntimeError where a run can't go on from the state: other settings, another place of an index, or one that is gone."""
     if not config.resume or not state:
         return
     old, now = state.get("indexes", {}), index_settings(config)
@@ -38,11 +57,14 @@ def check_resume(state: dict[str, Any], config: RunConfig, folder: str | Path) -
             continue
         if old.get(name) != now[name] or old.get("canonical_fields") != now["canonical_fields"]:
             raise RuntimeError(f"{name} dedup was configured otherwise in the run to resume")
-        if state.get("kept_rows") and not (Path(folder) / f"{name}_index").exists():
+        path, saved = index_path(folder, name), state.get("dedup", {}).get(name, {}).get("path")
+        if saved and saved != path:
+            raise RuntimeError(f"the {name} index of the run to resume is at {saved}, not {path}")
+        if state.get("kept_rows") and not exists(spark, path):
             raise RuntimeError(f"the {name} index of the run to resume is missing")
 
 
-def merge_counts(a: dict[str, int], b: dict[str, int]) -> dict[str, int]:
+def merge_counts(a: dict[str, Any], b: dict[str, Any]) -> dict[str, Any]:
     return {k: a.get(k, 0) + b.get(k, 0) for k in {**a, **b}}
 
 

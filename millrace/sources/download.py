@@ -31,7 +31,7 @@ def verify(path: str | Path, sha256: str | None = None, size: int | None = None)
 
 
 def download(url: str, path: str | Path, retries: int = 3, backoff: float = 5, timeout: float = 30, overwrite: bool = False, sha256: str | None = None, size: int | None = None, sleep: Callable[[float], None] = time.sleep) -> Path:
-    """Fetches url, going on where an earlier try ended. A file that already meets the expectations isn't requested again."""
+    """Fetches url, going on where an earlier try ended, and verifies what it fetched. A file that already meets the expectations isn't requested again."""
     p = Path(path)
     p.parent.mkdir(parents=True, exist_ok=True)
     if overwrite:
@@ -49,9 +49,11 @@ def download(url: str, path: str | Path, retries: int = 3, backoff: float = 5, t
             with urllib.request.urlopen(request, timeout=timeout) as response, open(p, "ab" if have and response.status == 206 else "wb") as f:
                 while data := response.read(1 << 20):
                     f.write(data)
+            verify(p, sha256, size)
             return p
         except urllib.error.HTTPError as e:
             if e.code == 416 and have:  # nothing is left to fetch
+                verify(p, sha256, size)
                 return p
             if attempt == retries:
                 raise

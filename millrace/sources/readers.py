@@ -14,6 +14,7 @@ from millrace.functions.text import normalize_text, parsed_wikitext, strip_space
 from millrace.operators.filtering import CLEANER_DROPPED, MALFORMED
 from millrace.operators.staging import staged
 from millrace.plans.config import malformed_policy
+from millrace.plans.state import chunk_size
 
 # Repeated revisions: the first counts, which only an array keeps apart.
 PAGE = T.StructType([
@@ -67,6 +68,12 @@ def accepted_pages(pages: DataFrame, namespace: int = 0, include_redirects: bool
     return pages.where(~F.col("is_malformed") & ok & (F.length(strip_space(F.coalesce(text, F.lit("")))) > 0)).select("_ord", "id", "title", text.alias("text"))
 
 
+def dealt(df: DataFrame, rows: int) -> DataFrame:
+    """df, which one file that can't be split has put into one task, dealt to tasks of a work unit each; after _ord is assigned."""
+    workers = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(1, -(-rows // chunk_size(rows, workers))))
+
+
 def read_pages(spark: SparkSession, path: str, namespace: int = 0, include_redirects: bool = False, policy: str = "skip") -> DataFrame:
     """_ord, id, title, text of a dump's accepted pages; malformed pages are skipped, or fail the scan under "raise"."""
     return accepted_pages(apply_malformed_policy(scan_pages(spark, path), policy), namespace, include_redirects)

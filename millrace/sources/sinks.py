@@ -4,16 +4,16 @@ from __future__ import annotations
 
 import json
 import os
-import shutil
 import time
 import uuid
 from collections.abc import Callable
 from pathlib import Path
 from typing import Any, Protocol
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from millrace.operators import staging as files
 from millrace.operators.staging import staged
 from millrace.plans.config import OutputConfig
 
@@ -43,33 +43,34 @@ def shard_manifest(df: DataFrame, config: OutputConfig = OutputConfig(), start:
 
 
 def write_shards(df: DataFrame, folder: str | Path, config: OutputConfig = OutputConfig(), start: int = 0, columns: list[str] | None = None, order: str = "_ord") -> dict[str, Any]:
-    """Writes full shards in input order into a folder that driver and executors share, and returns their manifest.
+    """Writes full shards in input order into a folder of any file system that the engine knows, and returns their manifest.
 
     Shards are written side by side in a staging folder and renamed when all are complete, so a failed run
     leaves nothing behind that a later one meets. FileExistsError where a shard is there already, unless overwrite is set.
     """
-    folder = Path(folder)
-    folder.mkdir(parents=True, exist_ok=True)
+    spark, folder = df.sparkSession, str(folder).rstrip("/")
     keep = columns or [c for c in df.columns if c != order]
     rows = shard_ids(df.select(order, *[c for c in keep if c != order]), config.shard_rows, start, order)
-    stage = folder / f".staging-{uuid.uuid4().hex}"
+    stage = f"{folder}/.staging-{uuid.uuid4().hex}"
     try:
         (rows.repartition("shard_id").sortWithinPartitions("shard_id", "rn").select("shard_id", *keep)
-         .write.option("compression", config.compression).partitionBy("shard_id").parquet(str(stage)))
-        counts = {r.shard_id: r.n for r in df.sparkSession.read.parquet(str(stage)).groupBy("shard_id").agg(F.count(F.lit(1)).alias("n")).collect()} if any(stage.glob("shard_id=*")) else {}
+         .write.option("compression", config.compression).partitionBy("shard_id").parquet(stage))
+        shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select("shard_id", *keep).schema)
+        counts = {r.shard_id: r.n for r in spark.read.schema(shape).parquet(stage).groupBy("shard_id").agg(F.count(F.lit(1)).alias("n")).collect()}
         names = {i: f"{config.prefix}-{i:05d}.parquet" for i in sorted(counts)}
-        there = [n for n in names.values() if (folder / n).exists()]
-        if there and not config.overwrite:
-            raise FileExistsError(f"{folder / there[0]} exists")
+        there = files.sizes(spark, folder)
+        if not config.overwrite and (met := [n for n in names.values() if n in there]):
+            raise FileExistsError(f"{folder}/{met[0]} exists")
         shards = []
         for i, name in names.items():
-            parts = list((stage / f"shard_id={i}").glob("*.parquet"))
+            parts = files.sizes(spark, f"{stage}/shard_id={i}", ".parquet")
             if len(parts) != 1:
                 raise RuntimeError(f"shard {i} came in {len(parts)} files")
-            os.replace(parts[0], folder / name)
-            shards.append({"name": name, "path": str(folder / name), "num_rows": counts[i], "size_bytes": (folder / name).stat().st_size})
+            part, size = next(iter(parts.items()))
+            files.move(spark, f"{stage}/shard_id={i}/{part}", f"{folder}/{name}", config.overwrite)
+            shards.append({"name": name, "path": f"{folder}/{name}", "num_rows": counts[i], "size_bytes": size})
     finally:
-        shutil.rmtree(stage, ignore_errors=True)
+        files.delete(spark, stage)
     return manifest(config.prefix, shards)
 
 
@@ -82,28 +83,19 @@ def merged_manifest(old: dict[str, Any] | None, new: dict[str, Any]) -> dict[str
 
 
 def total_bytes(shards: list[dict[str, Any]]) -> int:
-    return sum(file_size(s["path"]) for s in shards)
+    """Bytes of the shards of a manifest; those without a size count as 0."""
+    return sum(int(s.get("size_bytes") or 0) for s in shards)
 
 
-def file_size(path: str | Path) -> int:
-    """0 where there is no file."""
-    p = Path(path)
-    return p.stat().st_size if p.exists() else 0
-
-
-def save_json(value: dict[str, Any], path: str | Path) -> None:
+def save_json(spark: SparkSession, value: dict[str, Any], path: str | Path) -> None:
     """Atomic: readers see the old file or the new one."""
-    p = Path(path)
-    p.parent.mkdir(parents=True, exist_ok=True)
-    part = p.with_name(f".{p.name}.{uuid.uuid4().hex}")
-    part.write_text(json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True), encoding="utf-8")
-    os.replace(part, p)
+    files.write_text(spark, str(path), json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True))
 
 
-def load_json(path: str | Path) -> dict[str, Any]:
+def load_json(spark: SparkSession, path: str | Path) -> dict[str, Any]:
     """{} where there is no file; broken JSON raises."""
-    p = Path(path)
-    return json.loads(p.read_text(encoding="utf-8")) if p.exists() else {}
+    text = files.read_text(spark, str(path))
+    return {} if text is None else json.loads(text)
 
 
 def _flat(value: dict[str, Any], prefix: str = "") -> list[tuple[str, Any]]:
@@ -139,3 +131,29 @@ def upload(client: HubClient, repo_id: str | None, folder: str, path_in_repo: st
             if attempt == retries:
                 raise
             sleep(backoff * attempt)
+
+
+class FolderClient:
+    """HubClient over the public huggingface_hub library; ImportError where that isn't installed."""
+
+    def __init__(self, token: str, revision: str = "main", message: str = "Upload dataset"):
+        from huggingface_hub import HfApi
+
+        self.api, self.revision, self.message = HfApi(token=token), revision, message
+
+    def create_repo(self, repo_id: str, *, private: bool) -> Any:
+        return self.api.create_repo(repo_id=repo_id, repo_type="dataset", private=private, exist_ok=True)
+
+    def upload_folder(self, repo_id: str, folder: str, path_in_repo: str) -> Any:
+        return self.api.upload_folder(repo_id=repo_id, repo_type="dataset", folder_path=folder, path_in_repo=path_in_repo, revision=self.revision, commit_message=self.message)
+
+
+def publish(folder: str, repo_id: str | None, token_variable: str = "HF_TOKEN", dry_run: bool = False, client: HubClient | None = None, **options: Any) -> bool:
+    """Uploads a finished run's folder. The token is asked for in a dry run, too, which does all but the upload; True if it was made."""
+    token = (os.environ.get(token_variable) or "").strip()
+    if not token:
+        raise ValueError(f"the environment variable {token_variable} holds no token")
+    if dry_run:
+        return False
+    upload(client or FolderClient(token), repo_id, folder, **options)
+    return True

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,6 +12,8 @@ from millrace.operators.filtering import DUPLICATE_NEAR, LOW_QUALITY
 from millrace.operators.staging import delete, exists, staged
 from millrace.plans.config import RunConfig
 from millrace.plans.pipeline import ledger
+from millrace.plans.state import checkpoint_due, merge_counts
+from millrace.sources.sinks import save_json
 
 
 def _index(spark: SparkSession, folder: str, column: str, number: int) -> DataFrame | None:
@@ -39,14 +43,16 @@ def _compact(spark: SparkSession, folder: str, number: int, every: int, schema:
         delete(spark, f"{folder}/batch={k}")
 
 
-def start(rows: DataFrame, out: str, checkpoint: str, config: RunConfig = RunConfig(), compact: int = 32, files: int = 8, **trigger) -> StreamingQuery:
+def start(rows: DataFrame, out: str, checkpoint: str, config: RunConfig = RunConfig(), compact: int = 32, files: int = 8, every_rows: int = 50_000, every_seconds: float = 30, **trigger) -> StreamingQuery:
     """Writes a ledger part for every micro-batch under ``out/parts``; rows: a stream with _ord.
 
     The hashes and fingerprints that later batches must know go to narrow index tables beside it, partitioned by batch and
     compacted as batches come. A batch that is run again after a failure overwrites its own parts and sees the
-    same earlier ones, so results don't depend on retries.
+    same earlier ones, so results don't depend on retries. ``out/progress.json`` holds rows and reasons since the start, written anew
+    whenever ``every_rows`` rows or ``every_seconds`` have passed.
     """
     spark = rows.sparkSession
+    seen = {"rows": 0, "reasons": {}, "saved": 0, "at": time.time()}
     hashes, prints = f"{out}/exact_index", f"{out}/near_index"
 
     def one(batch: DataFrame, number: int) -> None:
@@ -56,6 +62,12 @@ def start(rows: DataFrame, out: str, checkpoint: str, config: RunConfig = RunCon
         part = f"{out}/parts/batch={number}"
         ledger(staged(batch, "batch"), config, None, *earlier).write.mode("overwrite").parquet(part)
         done = spark.read.parquet(part)
+        counts = {str(r.drop_reason): r["count"] for r in done.groupBy("drop_reason").count().collect()}
+        seen["rows"] += sum(counts.values())
+        seen["reasons"] = merge_counts(seen["reasons"], counts)
+        if checkpoint_due(seen["rows"], seen["saved"], time.time(), seen["at"], every_rows, every_seconds):
+            save_json(spark, {"batch": number, "rows": seen["rows"], "reasons": seen["reasons"]}, f"{out}/progress.json")
+            seen.update(saved=seen["rows"], at=time.time())
         if config.exact:
             _put(done.where(F.col("drop_reason").isNull() | F.col("drop_reason").isin(LOW_QUALITY, DUPLICATE_NEAR)).select("canonical_hash").distinct(), hashes, number, files)
         if config.near.enabled:

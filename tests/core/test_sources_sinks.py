@@ -1,11 +1,13 @@
 import bz2
 import gzip
 import json
+import shutil
 
 import pytest
 from pyspark.errors import PySparkException
 
-from millrace.operators.quality import HeuristicModel, model_for, score_stats
+from millrace.__main__ import main
+from millrace.operators.quality import HeuristicModel, ScoreStats, model_for, score_stats
 from millrace.plans import pipeline, state
 from millrace.plans.config import FilterConfig, NearConfig, OutputConfig, QualityConfig, RunConfig
 from millrace.sources import download, readers, sinks
@@ -52,7 +54,7 @@ def test_shards_and_manifest(spark, tmp_path):
     with pytest.raises(FileExistsError):
         sinks.write_shards(df, tmp_path, OutputConfig(shard_rows=2, prefix="p"))
     assert sinks.write_shards(df.where("false"), tmp_path, OutputConfig(prefix="q"))["num_shards"] == 0
-    assert sinks.merged_manifest(m, m)["total_rows"] == 10 and sinks.total_bytes(m["shards"]) > 0 and sinks.file_size("/none") == 0
+    assert sinks.merged_manifest(m, m)["total_rows"] == 10 and sinks.total_bytes(m["shards"]) > 0 and sinks.total_bytes([{"name": "x"}]) == 0
 
 
 def rows_of(spark, n, start=0):
@@ -65,13 +67,73 @@ def test_resumed_runs_equal_one_run(spark, tmp_path):
     whole = pipeline.run(rows_of(spark, 30), tmp_path / "one", config)
     pipeline.run(rows_of(spark, 30), tmp_path / "two", RunConfig(output=config.output, max_rows=11))
     second = pipeline.run(rows_of(spark, 30), tmp_path / "two", config)
-    assert second["kept_rows"] == whole["kept_rows"] and second["drop_reasons"] == whole["drop_reasons"] and second["processed_input_rows"] == 30
-    assert whole["kept_rows"] + sum(whole["drop_reasons"].values()) == 30
+    for key in ("written_rows_total", "drop_reasons", "processed_rows_total", "quality"):
+        assert second[key] == whole[key], key
+    assert whole["processed_rows_total"] == 30 == whole["written_rows_total"] + whole["dropped_rows"] and whole["quality"]["count"] == whole["written_rows_total"]
+    assert (second["processed_rows_new"], second["dedup"]["near"]["inserted_total"]) == (19, whole["dedup"]["near"]["inserted_total"])
+    assert set(second["stage_seconds"]) == {"deterministic_filter", "exact_dedup", "near_dedup", "quality_scoring"} and second["total_output_bytes"] > 0
     ids = lambda p: sorted(r.doc_id for r in spark.read.parquet(str(tmp_path / p / "data")).collect())
     assert ids("one") == ids("two")
     with pytest.raises(RuntimeError):
         pipeline.run(rows_of(spark, 30), tmp_path / "two", RunConfig(near=NearConfig(hamming_threshold=2)))
     assert "# corpus" in (tmp_path / "two" / "README.md").read_text()
+    # An index in another place is another index; a run that doesn't resume starts anew.
+    shutil.copytree(tmp_path / "two", tmp_path / "three")
+    with pytest.raises(RuntimeError):
+        pipeline.run(rows_of(spark, 30), tmp_path / "three", config)
+    again = pipeline.run(rows_of(spark, 30), tmp_path / "three", RunConfig(output=config.output, resume=False))
+    assert again["written_rows_total"] == whole["written_rows_total"] and ids("three") == ids("one")
+
+
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    lines = [f"D{i}\thttp://e/{i}\ttitle\t" + " ".join(words[(i * k) % 10] + str(i * k % 17) for k in range(1, 30)) for i in range(12)]
+    (tmp_path / "d.tsv.gz").write_bytes(gzip.compress("\n".join([*lines[:6], "bad line", lines[0], *lines[6:]]).encode()))
+    run = lambda *a: main(list(a), spark) or json.loads(capsys.readouterr().out)
+    s = run("tsv", "--input", str(tmp_path / "d.tsv.gz"), "--output", str(tmp_path / "out"), "--set", "output.shard_rows=5", "--title", "Docs")
+    assert (s["processed_rows_total"], s["malformed_rows"], s["drop_reasons"]["exact_duplicate"]) == (14, 1, 1)
+    assert s["num_shards_total"] == -(-s["written_rows_total"] // 5)
+    assert spark.read.parquet(str(tmp_path / "out" / "data")).columns == ["doc_id", "url", "title", "body", "source", "version"]
+    with pytest.raises(PySparkException):
+        run("tsv", "--input", str(tmp_path / "d.tsv.gz"), "--output", str(tmp_path / "strict"), "--set", "malformed_row_policy=raise")
+    page = lambda i: f"<page><title>T{i}</title><ns>0</ns><id>{i}</id><revision><text>''T{i}'' [[a|b]] " + " ".join(f"word{i * k}" for k in range(1, 40)) + "</text></revision></page>"
+    (tmp_path / "d.xml.bz2").write_bytes(bz2.compress(("<mediawiki>" + "".join(page(i) for i in range(5)) + "</mediawiki>").encode()))
+    s = run("wiki", "--input", str(tmp_path / "d.xml.bz2"), "--output", str(tmp_path / "wiki"))
+    assert s["written_rows_total"] == 5 and spark.read.parquet(str(tmp_path / "wiki" / "data")).columns == ["id", "title", "body", "url", "source", "dump_date"]
+    with pytest.raises(ImportError):
+        run("wiki", "--input", str(tmp_path / "d.xml.bz2"), "--output", str(tmp_path / "w2"), "--parser", "library", "--require-parser")
+    samples = [f"__label__{'high_quality' if i % 2 else 'low'} {'good words here' if i % 2 else 'spam spam buy'} {i}" for i in range(40)]
+    (tmp_path / "train.txt").write_text("\n".join([*samples, "", "oneword"]))
+    t = run("train-quality", "--train-file", str(tmp_path / "train.txt"), "--model-out", str(tmp_path / "model"), "--validation-file", str(tmp_path / "train.txt"), "--calibration-out", str(tmp_path / "c.json"))
+    assert t["calibration"]["f1"] == 1.0 and json.loads((tmp_path / "c.json").read_text()) == t
+    df = spark.createDataFrame([("good words here",), ("spam spam buy",)], "text string")
+    scores = lambda label: [r.q for r in model_for(QualityConfig(enabled=True, model_path=str(tmp_path / "model"), positive_label=label)).score(df, "text", "q").collect()]
+    high, low = scores("__label__high_quality")
+    assert high > 0.5 > low and scores("__label__other") == [0.0, 0.0]
+    with pytest.raises(ValueError):
+        model_for(QualityConfig(enabled=True, model_path=str(tmp_path / "none")))
+    monkeypatch.delenv("HF_TOKEN", raising=False)
+    with pytest.raises(ValueError):
+        sinks.publish(str(tmp_path / "out"), "a/b", dry_run=True)
+    monkeypatch.setenv("HF_TOKEN", "x")
+    assert sinks.publish(str(tmp_path / "out"), "a/b", dry_run=True) is False
+
+
+def test_public_names_and_environment(tmp_path, monkeypatch):
+    import millrace
+    from millrace import runtime
+
+    assert all(getattr(millrace, name) is not None for name in millrace.__all__) and len(millrace.__all__) > 50
+    with pytest.raises(AttributeError):
+        millrace.nothing
+    (tmp_path / ".env").write_text("# note\nexport MILL_A='x'\nMILL_B=y\n")
+    monkeypatch.setenv("MILL_B", "kept")
+    monkeypatch.delenv("MILL_A", raising=False)
+    assert runtime.load_env(tmp_path / ".env") == {"MILL_A": "x"}
+    assert runtime.tagged_folder("logs", " ") == runtime.tagged_folder("logs") == "logs" and runtime.tagged_folder("logs", " a ").endswith("a")
+    runtime.set_seed(3)
+    monkeypatch.delenv("MILL_A")
 
 
 def test_low_quality_first_copy_shadows_later_ones(spark):
@@ -100,14 +162,24 @@ def test_quality_models_and_stats(spark):
     assert score_stats(df.where("false")).first()["mean"] == 0.0
 
 
-def test_state(tmp_path):
+def test_score_stats_across_runs():
+    a, b = ScoreStats(2, 0.3, 0.1, 0.2, [0.1, 0.2]), ScoreStats(3, 1.2, 0.3, 0.5, [0.3, 0.4, 0.5])
+    m = ScoreStats.from_state(a.state()).merged(b)
+    assert m.summary() == {"count": 5, "sum": 1.5, "mean": 0.3, "min": 0.1, "max": 0.5, "quantiles": {"p10": pytest.approx(0.14), "p50": 0.3, "p90": pytest.approx(0.46)}}
+    assert ScoreStats().merged(ScoreStats()).summary() == {"count": 0, "sum": 0.0, "mean": 0.0, "min": None, "max": None, "quantiles": {}}
+    assert a.merged(b, 3).first == [0.1, 0.2, 0.3]
+
+
+def test_state(spark, tmp_path):
     path = tmp_path / "s.json"
-    assert state.load_state(path) == {}
-    state.save_state({"kept_rows": 3}, path)
-    assert state.load_state(path)["kept_rows"] == 3 and state.load_state(path)["drop_reasons"] == {}
+    assert state.load_state(spark, path) == {}
+    state.save_state(spark, {"kept_rows": 3, "drop_reasons": None}, path)
+    assert state.load_state(spark, path)["kept_rows"] == 3 and state.load_state(spark, path)["drop_reasons"] == {}
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["s.json"]
     path.write_text("{")
+    (tmp_path / ".s.json.crc").unlink(missing_ok=True)
     with pytest.raises(json.JSONDecodeError):
-        state.load_state(path)
+        state.load_state(spark, path)
     assert state.merge_counts({"a": 1, "b": 2}, {"b": 3, "c": 1}) == {"a": 1, "b": 5, "c": 1}
     assert state.checkpoint_due(10, 0, 40, 0) and not state.checkpoint_due(0, 0, 99, 0) and not state.checkpoint_due(10, 0, 1, 0)
     assert state.chunk_size(0, 4) == 1 and state.chunk_size(10, 4) == 10 and state.chunk_size(10_000, 4) == 625
@@ -124,6 +196,8 @@ def test_download_checks_card_and_upload(tmp_path):
             download.verify(f, **bad)
     assert download.download(f.as_uri(), f, size=3) == f
     assert download.download(f.as_uri(), tmp_path / "g").read_bytes() == b"abc"
+    with pytest.raises(ValueError):
+        download.download(f.as_uri(), tmp_path / "k", size=4)
     with pytest.raises(OSError):
         download.download((tmp_path / "none").as_uri(), tmp_path / "h", retries=2, sleep=lambda s: None)
     assert "- `quality.quantiles.p50`: 0.3" in sinks.dataset_card("T", "S", ["id"], {"quality": {"quantiles": {"p50": 0.3}}})
