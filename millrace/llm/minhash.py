@@ -52,7 +52,7 @@ class NearRule:
     matches: int = 34
     star_rounds: int = 12
     few_pairs: int = 20_000
-    part: int = 256
+    part: int = 2048
     bitmap_longs: int = 16
     filter_longs: int = 1 << 18
 

@@ -228,8 +228,9 @@ def _searched(sent, rule: GraphRule):
                 g = Graph(x, rule, np.frombuffer(s["levels"].as_py(), np.int64), links, s["entry"].as_py())
                 for i, (own, v) in enumerate(zip(block[dim][0].tolist(), block[dim][1])):
                     found = np.array(g.nearest(v.astype(x.dtype), rule.search))
-                    # The graph's distances choose candidates; results are measured anew in double precision.
-                    d = np.sqrt(((x[found].astype(np.float64) - v) ** 2).sum(axis=1))
+                    # The graph's distances choose candidates; results are measured anew in double precision, summed from the first component on.
+                    apart = x[found].astype(np.float64) - v
+                    d = np.sqrt(np.cumsum(apart * apart, axis=1)[:, -1])
                     near = ids[found]
                     ok = (near != own) & (near != _NONE)
                     best[dim].add(i, list(zip(np.broadcast_to(d[:, None], near.shape)[ok].tolist(), near[ok].tolist())))
