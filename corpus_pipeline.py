@@ -19,21 +19,32 @@ from millrace.llm import decontaminate as leaks
 from millrace.llm import minhash, mixing
 from millrace.llm import quality as classifier
 from millrace.llm import secrets as scanner
-from millrace.llm.common import staged, table
+from millrace.llm.common import table
+from millrace.operators import staging
+
+
+# Defined results of every stage: an empty table gives an empty one; repeated rows are decided alike; null or empty texts and columns of other
+# names pass by the rules below; the order of rows says nothing.
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier doesn't reject. Null and empty texts have a score like any other; without labels of
+    both kinds all documents stay."""
     feats = classifier.features(docs, table(spark, sf_dir, "labels"))
     return classifier.keep(docs, classifier.train(feats))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that repeat the kept doc_id are copies, too; one of them stays. A null doc_id without copies stays."""
+    """One document of each component. Rows that repeat the kept doc_id are copies, too; one of them stays. Documents without words
+    have no copies and stay. Rows with a null doc_id can't be named by a decision: of those with one text, one stays."""
     found = minhash.near_components(docs)
     # Only what is dropped is joined with the texts, by id; the ids are narrow.
     dropped = found.where("NOT kept AND component_id IS NOT NULL AND doc_id IS NOT NULL").select("doc_id").distinct()
     kept = docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
-    again = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 AND doc_id IS NOT NULL").select("doc_id")
+    times = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    again, nameless = times.where("doc_id IS NOT NULL").select("doc_id"), not times.where("doc_id IS NULL").isEmpty()
+    if nameless:
+        kept = kept.where("doc_id IS NOT NULL").unionByName(kept.where("doc_id IS NULL").dropDuplicates(["text"]))
     if again.isEmpty():
         return kept
     once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
@@ -41,10 +52,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item. Null and empty texts hold none; an empty benchmark leaves all."""
     return leaks.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mark in the place of each secret; a null text stays null, a text without secrets stays as it is."""
     old = "__millrace_old"
     marked = scanner.redact(docs.withColumn(old, F.col("text")))
     changed = ~F.col("text").eqNullSafe(F.col(old))
@@ -54,6 +67,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row for each document with its copies. Documents of size 0 (null or empty texts) take no words; a null source is the last one."""
     m = mixing.mix(docs)
     return m.select("doc_id", F.col("src").alias("source"), "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
 
@@ -65,7 +79,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents. A stage's intermediate tables go when its result is written, and that goes when the next one is."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+        mark, path = staging.mark(), staging.new_path(spark, f"stage-{name}")
+        out = stage(spark, docs, sf_dir)
+        out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        staging.release(spark, mark, keep=(path,))
+        if last:
+            staging.delete(spark, last)
+        last = path
     return docs
