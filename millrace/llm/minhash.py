@@ -274,7 +274,8 @@ def _confirm(pairs: DataFrame, sigs: DataFrame, texts: DataFrame, rule: NearRule
     one = sigs.select(F.col("rep").alias("b"), F.col("sig").alias("sb"))
     two = sigs.select(F.col("rep").alias("a"), F.col("sig").alias("sa"))
     agree = F.aggregate(F.zip_with("sa", "sb", lambda p, q: (p == q).cast("int")), F.lit(0), lambda s, x: s + x)
-    # No distinct here: it would keep the rows of one hub in one task, and stop the engine from splitting them.
-    c = pairs.join(one, "b").join(two, "a").where(agree >= rule.matches).select("a", "b")
+    # Written before the texts come in: two joins by "a" on top of each other would keep a hub's rows in one task, and stop the engine from
+    # splitting them.
+    c = cut(pairs.join(one, "b").join(two, "a").where(agree >= rule.matches).select("a", "b"))
     t = c.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("tb")), "b").join(texts.select(F.col("rep").alias("a"), F.col("text").alias("ta")), "a")
     return cut(t.select("a", "b", "ta", "tb").mapInArrow(_confirmed(rule), "a long, b long"))
