@@ -9,7 +9,7 @@ from typing import Any, Protocol
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.staging import exists, read_text, write_text
+from millrace.operators.staging import exists, read_text, staged, write_text
 from millrace.plans.config import QualityConfig
 
 GRID = range(5, 96)
@@ -125,7 +125,11 @@ def calibrate(scores: DataFrame) -> DataFrame:
 
 
 def score_stats(df: DataFrame, score: str = "quality_score", order: str = "_ord", sample: int = 50_000) -> DataFrame:
-    """count, sum, mean, min and max of all scores; p10, p50 and p90 of the first ``sample`` in input order."""
+    """count, sum, mean, min and max of all scores; p10, p50 and p90 of the first ``sample`` in input order.
+
+    Scores are written once, as a narrow table: each aggregate would compute the model's expression anew.
+    """
+    df = staged(df.select(order, score), "scores")
     totals = df.agg(F.count(score).alias("count"), F.coalesce(F.sum(score), F.lit(0.0)).alias("sum"), F.coalesce(F.avg(score), F.lit(0.0)).alias("mean"), F.min(score).alias("min"), F.max(score).alias("max"))
     first = df.where(F.col(score).isNotNull()).select(order, score).orderBy(order).limit(sample)
     q = first.agg(F.percentile(score, F.array(F.lit(0.1), F.lit(0.5), F.lit(0.9))).alias("q"))
