@@ -28,13 +28,15 @@ from millrace.llm.common import cut, n_words, staged
 
 @dataclass(frozen=True)
 class MixRule:
-    """weights repeat over the sources in code-point order; cap bounds both a document's rate and a source's target."""
+    """weights repeat over the sources in code-point order; cap bounds both a document's rate and a source's target. buckets: for each
+    ``rows`` documents."""
 
     weights: tuple[int, ...] = (5, 2, 1)
     cap: int = 3
     rounds: int = 60
     tolerance: float = 1e-9
     buckets: int = 64
+    rows: int = 50_000_000
     repairs: int = 3
 
 
@@ -101,7 +103,10 @@ def mix(docs: DataFrame, rule: MixRule = MixRule(), key: str = "doc_id", source:
     """doc_id, src, size, source_size, target, rate, copies for every document."""
     d = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{source}`").alias("src"), n_words(F.col(f"`{text}`")).alias("size"))
     order = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    d = staged(d.withColumn("h", order).withColumn("bucket", F.pmod("h", F.lit(rule.buckets)).cast("int")), "mix-sizes")
+    d = staged(d.withColumn("h", order), "mix-sizes")
+    # The documents of one size are ranked bucket by bucket, so buckets grow in number with the corpus.
+    buckets = rule.buckets * max(1, -(-d.count() // rule.rows))
+    d = d.withColumn("bucket", F.pmod("h", F.lit(buckets)).cast("int"))
     cells = staged(d.groupBy("src", "size", "bucket").count().withColumnRenamed("count", "n"), "mix-cells")
     histogram = cells.where("size > 0").groupBy("src", "size").agg(F.sum("n").alias("n"))
     sources = cells.groupBy("src").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("source_size"))

@@ -59,3 +59,34 @@ def test_edges(spark):
     check(rows, {"x": 3, None: 100, "b": 12, "Z": 2})
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert mixing.mix(empty).count() == 0
+
+
+def test_rates_solve_the_dual_by_bisection(spark):
+    """Rates are exponentially tilted by size and meet each source's constraint; very long texts and many sources included."""
+    import random
+
+    rng = random.Random(6)
+    data = [(i, "w " * rng.choice([1, 2, 3, 5, 8, 40, 200, 3000]), f"s{i % 9}") for i in range(900)] + [(1000, "long " * 300_000, "s4"), (1001, "x y", "tiny")]
+    df = spark.createDataFrame(data, "doc_id long, text string, source string").selectExpr("*", "1 AS n", "2 AS rate", "3 AS src", "4 AS bucket")
+    rows = mixing.mix(df).collect()
+    assert len(rows) == len(data)
+    of = defaultdict(list)
+    for r in rows:
+        of[r.src].append(r)
+    want = shares({s: sum(r.size for r in rs) for s, rs in of.items()})
+    for s, rs in of.items():
+        sizes, target = [r.size for r in rs], want[s]
+        lo, hi = -50.0, 50.0
+        scale = sum(x * x for x in sizes) / sum(sizes)
+        if target >= 3 * sum(sizes) * (1 - 1e-12):
+            assert all(r.rate == 3.0 and r.copies == 3 for r in rs)
+            continue
+        rate = lambda lam, x: min(3.0, math.exp(min(50.0, lam * x / scale)))
+        lo, hi = -1e3, math.log(3) * scale / min(sizes) + 1
+        for _ in range(300):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if sum(x * rate(mid, x) for x in sizes) < target else (lo, mid)
+        for r in rs:
+            assert math.isclose(r.rate, rate(lo, r.size), rel_tol=1e-4, abs_tol=1e-6), (s, r)
+            assert abs(r.copies - r.rate) <= 1 + 1e-6 or r.copies <= 3
+        assert abs(sum(r.copies * r.size for r in rs) - target) <= max(sizes)
