@@ -27,7 +27,7 @@ ORACLES: dict[str, str] = {}
 FILTER = FilterConfig(min_body_chars=100, max_body_chars=20_000, enable_pii_redaction=True, boilerplate_patterns=(r"https?://[^ ]+",))
 NEAR_MD5 = NearConfig(simhash="md5")
 
-# Fragments of the twins.
+# Fragments of the twins. Patterns whose results must match the engine's own.
 _CONTROL = r"[\x00-\x08\x0B-\x1F\x7F]"
 _EMAIL = r"\b[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}\b"
 _PHONE = r"\b(?:\+?\d{1,3}[\s.\-]?)?(?:\(?\d{2,4}\)?[\s.\-]?)?\d{3,4}[\s.\-]?\d{4}\b"
