@@ -3,6 +3,9 @@
 Texts are joined into pieces of bounded size (a long text is cut at white space), so memory stays
 bounded however long a text is. A word's 64-bit hash is the difference of two prefix sums of
 byte values times powers of an odd base, brought to position 0 by the inverse power and mixed.
+
+Defined results: a null text is empty, and an empty one has no words and no shingles; only A-Z are folded; a word's hash doesn't depend on its
+place, its text or the piece it is read in; words of any length are whole.
 """
 
 from __future__ import annotations
