@@ -1,4 +1,4 @@
-"""Connected components by smallest label, with pointer jumping; the state is a narrow written table.
+"""Connected components by hooking and shortcutting; the state is a narrow written table.
 
 Defined results: ids without an edge to another id have no row; a null id has none either; repeated edges and both directions count once; an
 empty table gives an empty result; extra columns are ignored.
@@ -15,17 +15,20 @@ from millrace.llm.common import cut
 def components(edges: DataFrame) -> DataFrame:
     """id, comp (smallest id reachable) for every id in edges (a, b).
 
-    Each round takes the smallest label among a node and its neighbours, then the label of that label.
-    The number of rounds is about the logarithm of the longest path; a hot hub's edges are summed map-side. Labels only fall, so rounds end.
+    Every id points to a smaller one of its component. In each round it takes the smallest of its own pointer's pointer and its neighbours', and hands
+    what it has seen to the id it pointed to, so that whole trees move at once and the number of rounds is about the logarithm of the longest path,
+    in whatever order its ids come. Minima of a hot hub or root are summed map-side. Pointers only fall, so rounds end.
     """
     e = cut(edges.where("a <> b").select("a", "b").distinct())
-    both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("comp")))
+    both = cut(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("id"), F.least("a", "m").alias("f")))
     while True:
-        seen = both.join(labels.select(F.col("id").alias("b"), "comp"), "b").groupBy("a").agg(F.min("comp").alias("m"))
-        near = labels.join(seen.withColumnRenamed("a", "id"), "id", "left").select("id", F.col("comp").alias("old"), F.least("comp", "m").alias("comp"))
-        up = labels.select(F.col("id").alias("comp"), F.col("comp").alias("above"))
-        after = cut(near.join(up, "comp", "left").select("id", "old", F.least("comp", "above").alias("comp")))
-        labels = after.select("id", "comp")
-        if after.where("comp <> old").isEmpty():
-            return labels
+        up = labels.select(F.col("id").alias("f"), F.col("f").alias("g"))
+        far = labels.join(up, "f").select("id", "f", "g")
+        seen = both.join(far.select(F.col("id").alias("b"), "g"), "b").groupBy("a").agg(F.min("g").alias("m"))
+        own = far.join(seen.withColumnRenamed("a", "id"), "id").select("id", "f", F.least("g", "m").alias("low"))
+        moved = F.inline(F.array(F.struct(F.col("id").alias("id"), F.least("low", "f").alias("to"), F.col("f").alias("old")), F.struct(F.col("f").alias("id"), F.col("low").alias("to"), F.lit(None).cast("long").alias("old"))))
+        after = cut(own.select(moved).groupBy("id").agg(F.min("to").alias("f"), F.max("old").alias("old")))
+        labels = after.select("id", "f")
+        if after.where("f <> old").isEmpty():
+            return labels.withColumnRenamed("f", "comp")
