@@ -177,7 +177,8 @@ def _links(docs: DataFrame, reps: DataFrame, rule: NearRule, key: str, text: str
     ids = lists.select("rep").distinct()
     d = docs.select(F.col(f"`{key}`").cast("long").alias("rep"), F.col(f"`{text}`").cast("string").alias("text"))
     texts = staged(_perhaps(d, ids, rule).join(ids, "rep", "left_semi").dropDuplicates(["rep", "text"]), "near-texts")
-    sigs = reps.join(ids, "rep", "left_semi").select("rep", "n", "sig")
+    # Written once: each turn joins it, and a join of its own below that one would keep the engine from splitting a hub's rows.
+    sigs = staged(reps.join(ids, "rep", "left_semi").select("rep", "n", "sig"), "near-sigs")
 
     comp, edges, bits, before = None, None, None, float("inf")
     for turn in range(rule.star_rounds + 1):
