@@ -54,10 +54,12 @@ def release(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) ->
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """A small input's rows dealt to all cores; anything larger stays as it is scanned. Row order and results don't depend on it."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < size <= SMALL_INPUT and cores > 1 else df
+    """A small input's rows dealt to all cores, where its scan has few partitions; any other stays as it is. Row order and results don't depend on it."""
+    plan, cores = df._jdf.queryExecution(), df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(plan.optimizedPlan().stats().sizeInBytes()))
+    if cores == 1 or not 0 < size <= SMALL_INPUT or plan.toRdd().getNumPartitions() >= 2 * cores:
+        return df
+    return df.repartition(cores)
 
 
 def file_system(spark: SparkSession, path: str):
