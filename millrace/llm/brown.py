@@ -232,8 +232,28 @@ def _contexts(head: Head, cls: np.ndarray, group: np.ndarray, h: np.ndarray, g:
     return (np.where(known, cls[k], group[g]) if len(head.h) else group[g]), k, known
 
 
+#: A class of neighbours and its count, as bytes: a row's pairs are one binary value, which the engine copies as it is.
+_PAIR = np.dtype([("k", "<u2"), ("n", "<i8")])
+
+
+def _packed(cuts: np.ndarray, ks: np.ndarray, ns: np.ndarray) -> pa.Array:
+    """A binary value of pairs for each row; cuts: where rows begin, and the end."""
+    pairs = np.empty(len(ks), _PAIR)
+    pairs["k"], pairs["n"] = ks, ns
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * _PAIR.itemsize).astype(np.int32)), pa.py_buffer(pairs.tobytes())])
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Number of pairs of each row, and all rows' pairs."""
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, kind)
+    raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.empty(0, np.uint8)
+    return np.diff(at) // _PAIR.itemsize, raw.view(_PAIR)
+
+
 def neighbour_table(texts: DataFrame, head: Head, cls: np.ndarray, group: np.ndarray, rule: BrownRule) -> DataFrame:
-    """h, g, k, n: for every word (for the end: 0 and rule.groups) the counts n of the context classes k before it, and of those
+    """h, g, v: for every word (for the end: 0 and rule.groups) pairs of the context classes k before it with their counts n, and of those
     after it as k + classes. A word has one row from each task or flush; all its rows are in one partition."""
     sent = texts.sparkSession.sparkContext.broadcast((head, cls, group))
     sides = 2 * rule.classes
@@ -248,9 +268,8 @@ def neighbour_table(texts: DataFrame, head: Head, cls: np.ndarray, group: np.nda
             for at in range(0, len(first), 20_000):
                 f = first[at : at + 20_000]
                 stop = first[at + 20_000] if at + 20_000 < len(first) else len(words)
-                cuts = pa.array(np.append(f, stop) - f[0], pa.int32())
-                lists = [pa.ListArray.from_arrays(cuts, pa.array(x[f[0] : stop], t)) for x, t in ((ks, pa.int16()), (ns, pa.int64()))]
-                yield pa.RecordBatch.from_arrays([pa.array(textnum.signed(words[f])), pa.array(groups[f].astype(np.int32)), *lists], ["h", "g", "k", "n"])
+                v = _packed(np.append(f, stop) - f[0], ks[f[0] : stop], ns[f[0] : stop])
+                yield pa.RecordBatch.from_arrays([pa.array(textnum.signed(words[f])), pa.array(groups[f].astype(np.int32)), v], ["h", "g", "v"])
 
         def flushed():
             h, g = np.concatenate([x[0] for x in ws]), np.concatenate([x[1] for x in ws])
@@ -285,10 +304,10 @@ def neighbour_table(texts: DataFrame, head: Head, cls: np.ndarray, group: np.nda
         parts = list(batches)
         if not parts:
             return
-        t = pa.Table.from_batches(parts).combine_chunks()
-        h, g, lists = t["h"].to_numpy(), t["g"].to_numpy(), t["k"].combine_chunks()
-        k, n = lists.flatten().to_numpy(), t["n"].combine_chunks().flatten().to_numpy()
-        length, start = np.diff(lists.offsets.to_numpy()), lists.offsets.to_numpy()[:-1] - lists.offsets.to_numpy()[0]
+        h, g = (np.concatenate([p.column(i).to_numpy() for p in parts]) for i in (0, 1))
+        lengths, pairs = zip(*(_unpacked(p.column(2)) for p in parts))
+        length, pairs = np.concatenate(lengths), np.concatenate(pairs)
+        k, n, start = pairs["k"], pairs["n"], np.cumsum(length) - length
         order = np.argsort(h, kind="stable")
         word = np.cumsum(np.concatenate(([False], h[order][1:] != h[order][:-1])))
         cuts = np.searchsorted(word, np.arange(0, int(word[-1]) + 5001, 5000))
@@ -297,23 +316,20 @@ def neighbour_table(texts: DataFrame, head: Head, cls: np.ndarray, group: np.nda
             m, first = int(w[-1]) + 1, np.flatnonzero(np.concatenate(([True], w[1:] != w[:-1])))
             per = length[o]
             flat = np.repeat(start[o] - (np.cumsum(per) - per), per) + np.arange(per.sum())
-            v = np.bincount(np.repeat(w, per) * sides + k[flat], weights=n[flat], minlength=m * sides).astype(np.int64)
+            v = np.bincount(np.repeat(w, per) * sides + k[flat].astype(np.int64), weights=n[flat], minlength=m * sides).astype(np.int64)
             at = np.flatnonzero(v)
-            ends = pa.array(np.searchsorted(at, np.arange(m + 1) * sides), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(h[o[first]]), pa.array(g[o[first]]), pa.ListArray.from_arrays(ends, pa.array(at % sides, pa.int16())), pa.ListArray.from_arrays(ends, pa.array(v[at]))],
-                ["h", "g", "k", "n"],
-            )
+            ends = np.searchsorted(at, np.arange(m + 1) * sides)
+            yield pa.RecordBatch.from_arrays([pa.array(h[o[first]]), pa.array(g[o[first]]), _packed(ends, at % sides, v[at])], ["h", "g", "v"])
 
-    schema = "h long, g int, k array<short>, n array<long>"
+    schema = "h long, g int, v binary"
     return staged(texts.mapInArrow(run, schema).repartition("h").mapInArrow(merged, schema), "brown-neighbours")
 
 
 def _assign(batch: pa.RecordBatch, logs: np.ndarray, rule: BrownRule) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Groups, counts, best classes (-1 below rule.least) and neighbour counts of a neighbour table's rows."""
-    width, lists = 2 * rule.classes, batch.column(2)
-    at = np.repeat(np.arange(batch.num_rows), np.diff(lists.offsets.to_numpy())) * width + lists.flatten().to_numpy()
-    v = np.bincount(at, weights=batch.column(3).flatten().to_numpy(), minlength=batch.num_rows * width).reshape(-1, width)
+    width, (length, pairs) = 2 * rule.classes, _unpacked(batch.column(2))
+    at = np.repeat(np.arange(batch.num_rows), length) * width + pairs["k"]
+    v = np.bincount(at, weights=pairs["n"], minlength=batch.num_rows * width).reshape(-1, width)
     g, c = batch.column(1).to_numpy(), v[:, : rule.classes].sum(axis=1)
     cls = (v @ logs)[:, : rule.classes - 1].argmax(axis=1)
     return g, c, np.where(g == rule.groups, rule.classes - 1, np.where(c < rule.least, -1, cls)), v
