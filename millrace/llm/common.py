@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators.staging import new_path, shared_dir, spread, staged  # noqa: F401
+from millrace.operators.staging import few_files, new_path, settle, shared_dir, spread, staged  # noqa: F401
 
 #: A word: a run of anything but space and the five ASCII white-space controls.
 WORD = r"[^\x20\x09-\x0D]+"

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import staged
+from millrace.llm.common import settle, staged
 from millrace.llm.textnum import LINE_END, PIECE, small, views, word_hashes
 
 
@@ -192,6 +192,7 @@ def _steps(feats: DataFrame, models: list[np.ndarray], frozen, steps: int, rule:
             step = np.linalg.solve(h + rule.ridge * np.eye(len(w)), g + rule.ridge * w)
             moved.append(w - step * min(1.0, 8.0 / max(1e-12, np.abs(step).max())))
         models = moved
+        settle(feats.sparkSession)
     return models
 
 

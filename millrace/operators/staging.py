@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +15,11 @@ _written: list[str] = []
 #: Inputs up to this size are dealt to all cores before work that a scan of few row groups would leave to one.
 SMALL_INPUT = 64 << 20
 
+#: Seconds between two collections of the driver's garbage by ``settle``.
+SETTLE_S = 15.0
+
+_settled = 0.0
+
 
 def shared_dir(spark: SparkSession) -> str:
     """spark.checkpoint.dir. Where none is set, a local master gets a temporary folder; on a cluster that is an error,
@@ -37,9 +44,27 @@ def staged(df: DataFrame, tag: str) -> DataFrame:
     """df written as Parquet and reread: lineage ends, size estimates are real, and a lost executor loses nothing."""
     path = new_path(df.sparkSession, tag)
     df.write.parquet(path)
+    settle(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle(spark: SparkSession) -> None:
+    """Collects the driver's garbage, if the last time is ``SETTLE_S`` ago. Plans, broadcasts and shuffle files of finished rounds go only
+    when the driver's JVM does so; left alone in a loop of many tasks, it takes its whole heap first and never gives any back."""
+    global _settled
+    if time.monotonic() - _settled >= SETTLE_S:
+        gc.collect()
+        spark._jvm.System.gc()
+        _settled = time.monotonic()
+
+
+def few_files(df: DataFrame) -> DataFrame:
+    """df in fewer partitions, so that a narrow table of few rows isn't one small file for each shuffle partition: their footers alone would take
+    it over the size of a broadcast, and every join with it would shuffle. For plans that end in an aggregate; rows and order stay."""
+    cores, dealt = df.sparkSession.sparkContext.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(4 * cores, dealt // 8))
+
+
 def mark() -> int:
     """A point in time for ``release``."""
     return len(_written)

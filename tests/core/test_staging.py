@@ -38,3 +38,17 @@ def test_small_inputs_are_spread_and_files_move(spark, tmp_path):
         staging.move(spark, str(tmp_path / "b.txt"), str(tmp_path / "a.txt"))
     staging.move(spark, str(tmp_path / "b.txt"), str(tmp_path / "a.txt"), overwrite=True)
     assert staging.read_text(spark, str(tmp_path / "a.txt")) == "b" and "a.txt" in staging.sizes(spark, str(tmp_path))
+
+
+def test_written_tables_let_the_driver_collect_its_garbage(spark, monkeypatch):
+    def whole():
+        beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+    before, mark = whole(), staging.mark()
+    monkeypatch.setattr(staging, "_settled", float("-inf"), raising=False)
+    assert staging.staged(spark.range(5), "a").count() == 5
+    once = whole()
+    assert once > before
+    assert staging.staged(spark.range(5), "b").count() == 5 and whole() == once
+    staging.release(spark, mark)
