@@ -7,18 +7,41 @@ from functools import lru_cache, partial
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+try:  # the interpreter's own MD5 begins a digest faster than OpenSSL's
+    from _md5 import md5
+except ImportError:
+    from hashlib import md5
+
 BITS = 64
-DIGESTS = {"blake2b": partial(hashlib.blake2b, digest_size=8), "md5": partial(hashlib.md5, usedforsecurity=False)}
+DIGESTS = {"blake2b": partial(hashlib.blake2b, digest_size=8), "md5": partial(md5, usedforsecurity=False)}
+
+
+#: Bounds of a worker's table of token hashes, about 6 MB: texts bring ever new tokens, and a larger table saves little time.
+KNOWN_TOKENS, KNOWN_CHARS = 1 << 15, 32
+
+
+class _Hashes(dict):
+    """The first 64 bits of tokens' digests; starts anew when it is full, and long tokens aren't kept."""
+
+    def __init__(self, digest: str):
+        super().__init__()
+        self.digest = DIGESTS[digest]
+
+    def __missing__(self, token: str) -> bytes:
+        found = self.digest(token.encode("utf-8", "surrogatepass")).digest()[:8]
+        if len(token) <= KNOWN_CHARS:
+            if len(self) >= KNOWN_TOKENS:
+                self.clear()
+            self[token] = found
+        return found
 
 
-@lru_cache(maxsize=1 << 18)
-def _token_hash(token: str, digest: str) -> bytes:
-    return DIGESTS[digest](token.encode("utf-8", "surrogatepass")).digest()[:8]
+_hashes = lru_cache(maxsize=None)(_Hashes)
 
 
 def simhash_of(text: str | None, digest: str = "blake2b") -> int:
@@ -26,20 +49,20 @@ def simhash_of(text: str | None, digest: str = "blake2b") -> int:
     tokens = (text or "").split()
     if not tokens:
         return 0
-    votes = np.zeros(BITS, np.int64)
+    known, votes = _hashes(digest), np.zeros(BITS, np.int64)
     for at in range(0, len(tokens), 8192):  # bounded memory for long texts
-        raw = b"".join([_token_hash(t, digest) for t in tokens[at : at + 8192]])
+        raw = b"".join(map(known.__getitem__, tokens[at : at + 8192]))
         votes += np.unpackbits(np.frombuffer(raw, np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
     bits = (2 * votes >= len(tokens)).astype(np.uint8)
     return int(np.packbits(bits).view(">i8")[0])
 
 
 def simhash(text: Column, digest: str = "blake2b") -> Column:
-    """simhash_of as an Arrow UDF; digest: blake2b or md5."""
+    """simhash_of as an Arrow UDF; digest: blake2b or md5. Texts become strings one at a time, never a whole batch of them."""
 
-    @F.pandas_udf(T.LongType())
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([simhash_of(t, digest) for t in texts], dtype="int64")
+    @F.arrow_udf(T.LongType())
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([simhash_of(t.as_py(), digest) for t in texts], pa.int64())
 
     return run(text)
 

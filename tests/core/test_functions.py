@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 
 import urllib.parse
 
@@ -72,3 +73,15 @@ def test_simhash(spark, kind):
     assert column(spark, ["x"], F.size(simhash.bands(F.lit(-1).cast("long")))) == [4]
     assert column(spark, ["x"], simhash.hamming(F.lit(7).cast("long"), F.lit(0).cast("long"))) == [3]
     assert np.int64(simhash.simhash_of("one"))
+
+
+def test_simhash_holds_few_tokens():
+    tracemalloc.start()
+    try:
+        for k in range(60):
+            simhash.simhash_of(" ".join(f"{k}x{i}" for i in range(2000)), "md5")
+        assert tracemalloc.get_traced_memory()[0] < 12e6
+    finally:
+        tracemalloc.stop()
+    long = " ".join(f"{i:040d}" for i in range(100))
+    assert simhash.simhash_of(long, "md5") & (2**64 - 1) == slow_simhash(long, lambda b: hashlib.md5(b).digest())
