@@ -392,20 +392,20 @@ def shard_manifest(spark, sf_dir):
 
 @query("streaming_dedup", f"SELECT min(doc_id) AS _ord, sha256({_norm('text')}) AS canonical_hash FROM documents GROUP BY 2")
 def streaming_dedup(spark, sf_dir):
-    """Exact dedup over a stream whose files come in input order, one a micro-batch, each joined with what was kept before."""
+    """Exact dedup over a stream whose files come in input order: each run of the stream takes the files that have come since the last as one
+    micro-batch, which is joined with what was kept before. So a micro-batch has as many files as the scan has tasks."""
     from millrace.streaming import incremental
 
     base = new_path(spark, "stream")
     rows = readers.read_documents(spark, sf_dir)
     lo, hi = rows.agg(F.min("_ord"), F.max("_ord")).first()
     step = 1 if lo is None else (hi - lo) // 3 + 1
+    config = RunConfig(filtering=FilterConfig(enabled=False), near=NearConfig(enabled=False))
     for k in range(3):
-        # Files are taken by their time of writing.
         part = rows if lo is None else rows.where((F.col("_ord") >= lo + k * step) & (F.col("_ord") < lo + (k + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(f"{base}/in")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false").parquet(f"{base}/in")
-    config = RunConfig(filtering=FilterConfig(enabled=False), near=NearConfig(enabled=False))
-    incremental.start(stream, f"{base}/out", f"{base}/checkpoint", config).awaitTermination()
+        part.write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        incremental.start(stream, f"{base}/out", f"{base}/checkpoint", config).awaitTermination()
     return incremental.results(spark, f"{base}/out").where("drop_reason IS NULL").select("_ord", "canonical_hash")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.operators.filtering import DUPLICATE_NEAR, LOW_QUALITY
-from millrace.operators.staging import delete, exists, staged
+from millrace.operators.staging import delete, exists
 from millrace.plans.config import RunConfig
 from millrace.plans.pipeline import ledger
 from millrace.plans.state import checkpoint_due, merge_counts
@@ -60,7 +60,8 @@ def start(rows: DataFrame, out: str, checkpoint: str, config: RunConfig = RunCon
         _compact(spark, prints, number, compact, "fp long")
         earlier = _index(spark, hashes, "canonical_hash", number), _index(spark, prints, "fp", number)
         part = f"{out}/parts/batch={number}"
-        ledger(staged(batch, "batch"), config, None, *earlier).write.mode("overwrite").parquet(part)
+        # The ledger reads the batch once, for a table of its own.
+        ledger(batch, config, None, *earlier).write.mode("overwrite").parquet(part)
         done = spark.read.parquet(part)
         counts = {str(r.drop_reason): r["count"] for r in done.groupBy("drop_reason").count().collect()}
         seen["rows"] += sum(counts.values())
